@@ -161,7 +161,7 @@ def trailing_streaks(
     at_keys = [*keys, "at"]
     seen = runs.where(_not_null(at_keys)).select(
         *at_keys,
-        F.coalesce(F.col(order), F.lit("￿")).alias("_order"),
+        F.coalesce(F.col(order), F.lit("\uffff")).alias("_order"),
         F.col(failed).alias("_failed"),
     )
     per_instant = seen.groupBy(*at_keys).agg(
