@@ -28,6 +28,15 @@ def micros(column: Column | str) -> Column:
     return F.unix_micros(c.cast("timestamp"))
 
 
+def _exprs(texts: Sequence[str]) -> list[Column]:
+    return [F.expr(t) for t in texts]
+
+
+def _over_buckets(keys: Sequence[str]) -> str:
+    part = f"PARTITION BY {', '.join(keys)} " if keys else ""
+    return part + "ORDER BY _bucket ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+
+
 def _bucketed(df: DataFrame, bucket_us: int) -> DataFrame:
     return df.withColumn("_bucket", F.expr(f"at div {bucket_us}L"))
 
@@ -53,57 +62,48 @@ def strict_prefix_sums(
     part, so callers left-join the result and fill in what an empty history means.
     """
     keys = list(keys)
-    types = {f.name: f.dataType for f in deltas.schema.fields}
-    rows = deltas.select(*keys, "at", *sums, F.lit(0).alias("_target")).unionByName(
-        targets.select(
-            *keys,
-            "at",
-            *[F.lit(None).cast(types[s]).alias(s) for s in sums],
-            F.lit(1).alias("_target"),
+    types = {f.name: f.dataType.simpleString() for f in deltas.schema.fields}
+    known = " AND ".join(f"{k} IS NOT NULL" for k in [*keys, "at"])
+    rows = deltas.selectExpr(*keys, "at", *sums, "0 AS _target").unionAll(
+        targets.selectExpr(
+            *keys, "at", *[f"CAST(NULL AS {types[v]}) AS {v}" for v in sums], "1 AS _target"
         )
     )
     instants = (
-        _bucketed(rows.where(_not_null([*keys, "at"])), bucket_us)
+        rows.where(known)
+        .selectExpr("*", f"at div {bucket_us}L AS _bucket")
         .groupBy(*keys, "_bucket", "at")
-        .agg(
-            *[F.sum(s).alias(s) for s in sums],
-            F.max("_target").alias("_target"),
-        )
+        .agg(*_exprs([*[f"sum({v}) AS {v}" for v in sums], "max(_target) AS _target"]))
     )
+    partition = ", ".join([*keys, "_bucket"])
     inside = (
-        Window.partitionBy(*keys, "_bucket")
-        .orderBy("at")
-        .rowsBetween(Window.unboundedPreceding, -1)
+        f"PARTITION BY {partition} ORDER BY at"
+        " ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
     )
-    local = instants.select(
+    local = instants.selectExpr(
         *keys,
         "_bucket",
         "at",
         "_target",
-        *[F.sum(s).over(inside).alias(s) for s in sums],
+        *[f"sum({v}) OVER ({inside}) AS {v}" for v in sums],
     ).where("_target = 1")
 
-    across = (
-        Window.partitionBy(*keys)
-        .orderBy("_bucket")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
+    # Both branches read the same columns of ``instants``, so its shuffle is reused.
+    across = _over_buckets(keys)
     carried = (
         instants.groupBy(*keys, "_bucket")
-        .agg(*[F.sum(s).alias(s) for s in sums])
-        .select(
-            *keys, "_bucket", *[F.sum(s).over(across).alias(f"_c_{s}") for s in sums]
+        .agg(*_exprs([*[f"sum({v}) AS {v}" for v in sums], "max(_target) AS _target"]))
+        .selectExpr(
+            *keys,
+            "_bucket",
+            "_target",
+            *[f"sum({v}) OVER ({across}) AS _c_{v}" for v in sums],
         )
+        .where("_target = 1")
+        .drop("_target")
     )
-    return local.join(carried, [*keys, "_bucket"], "left").select(
-        *keys,
-        "at",
-        *[
-            (
-                F.coalesce(F.col(s), F.lit(0)) + F.coalesce(F.col(f"_c_{s}"), F.lit(0))
-            ).alias(s)
-            for s in sums
-        ],
+    return local.join(carried, [*keys, "_bucket"], "left").selectExpr(
+        *keys, "at", *[f"coalesce({v}, 0) + coalesce(_c_{v}, 0) AS {v}" for v in sums]
     )
 
 
@@ -124,22 +124,9 @@ def span_deltas(
         closes.alias("_closes"),
         *[v.alias(k) for k, v in values.items()],
     ).where("_closes > _opens")
-    signed = base.withColumn(
-        "_edge",
-        F.explode(
-            F.array(
-                F.struct(F.col("_opens").alias("at"), F.lit(1).alias("sign")),
-                F.struct(F.col("_closes").alias("at"), F.lit(-1).alias("sign")),
-            )
-        ),
-    )
-    return signed.select(
-        *keys,
-        F.col("_edge.at").alias("at"),
-        *[
-            F.when(F.col("_edge.sign") > 0, F.col(k)).otherwise(-F.col(k)).alias(k)
-            for k in values
-        ],
+    edges = "inline(array(struct(_opens AS at, 1 AS _sign), struct(_closes AS at, -1 AS _sign)))"
+    return base.selectExpr(*keys, *values, edges).selectExpr(
+        *keys, "at", *[f"{k} * _sign AS {k}" for k in values]
     )
 
 
@@ -226,12 +213,22 @@ def trailing_streaks(
     )
     carried = (
         placed.groupBy(*keys, "_bucket")
-        .agg(F.sum("_n").alias("_n"), F.max("_reset").alias("_reset"))
+        .agg(
+            F.sum("_n").alias("_n"),
+            F.max("_reset").alias("_reset"),
+            F.max("_target").alias("_target"),
+        )
         .withColumn("_count_before", F.coalesce(F.sum("_n").over(across), F.lit(0)))
         .withColumn("_abs", F.col("_count_before") + F.col("_reset"))
         .select(
-            *keys, "_bucket", "_count_before", F.max("_abs").over(across).alias("_carry")
+            *keys,
+            "_bucket",
+            "_count_before",
+            "_target",
+            F.max("_abs").over(across).alias("_carry"),
         )
+        .where("_target = 1")
+        .drop("_target")
     )
     return local.join(carried, [*keys, "_bucket"], "left").select(
         *keys,

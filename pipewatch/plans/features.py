@@ -116,33 +116,24 @@ def history_deltas(runs: DataFrame, cfg: FeatureSettings) -> DataFrame:
         scalars.state_in("state", cfg.failure_states).cast("bigint").alias("_f"),
         duration_micros(runs).alias("_d"),
     )
-    edges = F.array(
-        F.struct(F.lit(0).cast("bigint").alias("w"), F.lit(0).cast("bigint").alias("shift")),
-        *[
-            F.struct(F.lit(w).cast("bigint").alias("w"), F.lit(w * DAY).alias("shift"))
-            for w in cfg.windows_days
-        ],
-    )
-    e = base.withColumn("_e", F.explode(edges))
-    opening = F.col("_e.w") == 0
+    edges = ", ".join(f"struct({w} AS _w, {w * DAY}L AS _shift)" for w in (0, *cfg.windows_days))
 
-    def signed(value: Column, w: int) -> Column:
-        return F.when(opening, value).when(F.col("_e.w") == w, -value)
+    def signed(value: str, w: int, name: str, kind: str = "bigint") -> str:
+        v = f"CAST({value} AS {kind})"
+        return f"CASE WHEN _w = 0 THEN {v} WHEN _w = {w} THEN -{v} END AS {name}"
 
-    one = F.lit(1).cast("bigint")
-    cols = {}
+    cols = []
     for w in cfg.windows_days:
-        cols[f"_n{w}"] = signed(one, w)
-        cols[f"_f{w}"] = signed(F.col("_f"), w)
+        cols += [signed("1", w, f"_n{w}"), signed("_f", w, f"_f{w}")]
     if 30 in cfg.windows_days:
-        d = F.col("_d").cast("decimal(19,0)")
-        cols["_dn"] = signed(F.when(F.col("_d").isNotNull(), one), 30)
-        cols["_ds"] = signed(d, 30).cast("decimal(28,0)")
-        cols["_dq"] = signed(d * d, 30).cast(WIDE)
-    return e.select(
-        "dag_id",
-        (F.col("at") + F.col("_e.shift")).alias("at"),
-        *[c.alias(n) for n, c in cols.items()],
+        d = "CAST(_d AS decimal(19,0))"
+        cols += [
+            signed("CASE WHEN _d IS NOT NULL THEN 1 END", 30, "_dn"),
+            signed(d, 30, "_ds", "decimal(28,0)"),
+            signed(f"{d} * {d}", 30, "_dq", WIDE),
+        ]
+    return base.selectExpr("*", f"inline(array({edges}))").selectExpr(
+        "dag_id", "at + _shift AS at", *cols
     )
 
 
@@ -165,51 +156,37 @@ def task_deltas(tasks: DataFrame, runs: DataFrame, cfg: FeatureSettings) -> Data
         micros("start_date").alias("_s"),
         F.coalesce(F.col("try_number").cast("bigint"), F.lit(0)).alias("_try"),
         scalars.state_in("state", cfg.failed_task_states).cast("bigint").alias("_bad"),
-        F.col("task_id").cast("string").isin(list(cfg.critical_tasks)).alias("_crit")
+        F.coalesce(
+            F.col("task_id").cast("string").isin(list(cfg.critical_tasks)), F.lit(False)
+        ).alias("_crit")
         if cfg.critical_tasks
         else F.lit(False).alias("_crit"),
         scalars.state_in("state", cfg.critical_failed_states).alias("_critbad"),
     )
-    one = F.lit(1).cast("bigint")
-    recent = {
-        "_tn": one,
-        "_retries": F.col("_try") - 1,
-        "_retried": (F.col("_try") > 1).cast("bigint"),
-        "_bad": F.col("_bad"),
-        "_cn": F.coalesce(F.col("_crit"), F.lit(False)).cast("bigint"),
-        "_cbad": (F.coalesce(F.col("_crit"), F.lit(False)) & F.col("_critbad")).cast("bigint"),
-    }
-    queued = {
-        "_qn": F.when(F.col("_s").isNotNull(), one),
-        "_qs": (F.col("_s") - F.col("_q")).cast("decimal(28,0)"),
-    }
-    thirty = F.coalesce(F.col("_s"), F.col("_q")) + _us(30)
-    seven = F.col("_q") + _us(7)
-    # One scan: each task opens at its run, leaves the two windows at two times.
-    edges = base.withColumn(
-        "_e",
-        F.explode(
-            F.array(
-                F.struct(F.lit("t").alias("w"), F.lit(1).alias("sign"), F.col("_run").alias("at")),
-                F.struct(F.lit("t").alias("w"), F.lit(-1).alias("sign"), thirty.alias("at")),
-                F.struct(F.lit("q").alias("w"), F.lit(1).alias("sign"), F.col("_run").alias("at")),
-                F.struct(F.lit("q").alias("w"), F.lit(-1).alias("sign"), seven.alias("at")),
-            )
-        ),
-    ).where(
-        F.when(F.col("_e.w") == "t", thirty > F.col("_run")).otherwise(
-            seven > F.col("_run")
-        )
+    # One scan: each task opens at its run and leaves the two windows at two times.
+    edges = (
+        f"inline(array(struct('t' AS _w, coalesce(_s, _q) + {30 * DAY}L AS _closes),"
+        f" struct('q' AS _w, _q + {7 * DAY}L AS _closes)))"
     )
-
-    def signed(window: str, value: Column) -> Column:
-        return F.when(F.col("_e.w") == window, value * F.col("_e.sign"))
-
-    return edges.select(
+    both = (
+        base.selectExpr("*", edges)
+        .where("_closes > _run")
+        .selectExpr("*", "inline(array(struct(_run AS at, 1L AS _sign), struct(_closes AS at, -1L AS _sign)))")
+    )
+    values = [
+        ("t", "1", "_tn"),
+        ("t", "_try - 1", "_retries"),
+        ("t", "IF(_try > 1, 1, 0)", "_retried"),
+        ("t", "_bad", "_bad"),
+        ("t", "IF(_crit, 1, 0)", "_cn"),
+        ("t", "IF(_crit AND _critbad, 1, 0)", "_cbad"),
+        ("q", "IF(_s IS NOT NULL, 1, NULL)", "_qn"),
+    ]
+    return both.selectExpr(
         "dag_id",
-        F.col("_e.at").alias("at"),
-        *[signed("t", v).alias(n) for n, v in recent.items()],
-        *[signed("q", v).cast("decimal(28,0)" if n == "_qs" else "bigint").alias(n) for n, v in queued.items()],
+        "at",
+        *[f"CASE WHEN _w = '{w}' THEN ({v}) * _sign END AS {n}" for w, v, n in values],
+        "CASE WHEN _w = 'q' THEN CAST((_s - _q) * _sign AS decimal(28,0)) END AS _qs",
     )
 
 
@@ -359,20 +336,13 @@ def pressure_deltas(tasks: DataFrame, runs: DataFrame, cfg: FeatureSettings) ->
         F.col("at") + F.lit(reach),
         {"_run": one},
     )
+    edges = (
+        "inline(array(struct(_q - 1 AS at, 1L AS _h1, 1L AS _h24),"
+        f" struct(_q + {HOUR}L AS at, -1L AS _h1, 0L AS _h24),"
+        f" struct(_q + {24 * HOUR}L AS at, 0L AS _h1, -1L AS _h24)))"
+    )
     queued = (
-        tasks.select(micros("queued_dttm").alias("_q"))
-        .where("_q IS NOT NULL")
-        .withColumn(
-            "_e",
-            F.explode(
-                F.array(
-                    F.struct((F.col("_q") - 1).alias("at"), one.alias("h1"), one.alias("h24")),
-                    F.struct((F.col("_q") + F.lit(HOUR)).alias("at"), (-one).alias("h1"), F.lit(0).cast("bigint").alias("h24")),
-                    F.struct((F.col("_q") + F.lit(24 * HOUR)).alias("at"), F.lit(0).cast("bigint").alias("h1"), (-one).alias("h24")),
-                )
-            ),
-        )
-        .select("_e.at", F.col("_e.h1").alias("_h1"), F.col("_e.h24").alias("_h24"))
+        tasks.select(micros("queued_dttm").alias("_q")).where("_q IS NOT NULL").selectExpr(edges)
     )
     return running.unionByName(queued, allowMissingColumns=True)
 

@@ -18,6 +18,8 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8) -> SparkSes
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("PIPEWATCH_DRIVER_MEMORY", "12g"))
         .config("spark.ui.enabled", "false")
+        # Column call sites are only for error messages and slow plan building down.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
