@@ -83,22 +83,42 @@ def schedule_due(schedule: Column | str, day: Column) -> Column:
     s = F.col(schedule) if isinstance(schedule, str) else schedule
     raw = F.trim(s)
     quoted = raw.rlike(r"""^(".*"|'.*')$""") & (F.length(raw) >= 2)
-    raw = F.when(quoted, F.trim(F.substring(raw, F.lit(2), F.length(raw) - 2))).otherwise(raw)
+    bare = F.when(
+        quoted, F.trim(F.substring(raw, F.lit(2), F.length(raw) - 2))
+    ).otherwise(raw)
+    return _let(bare, lambda text: _due(text, day))
+
+
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, however often it is named."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _due(raw: Column, day: Column) -> Column:
     word = F.lower(raw)
-    cron = raw
-    for name, fields in PRESETS.items():
-        cron = F.when(word == name, fields).otherwise(cron)
-    parts = F.split(F.trim(cron), r"\s+")
+    preset = F.create_map(*[F.lit(x) for kv in PRESETS.items() for x in kv])
+    cron = F.coalesce(F.try_element_at(preset, word), raw)
+    nothing = F.lit(None).cast("boolean")
+    return (
+        F.when(raw.isNull() | word.isin(list(NONE_WORDS)), nothing)
+        .when(word.isin(list(NEVER_PRESETS)), F.lit(False))
+        .when(raw.rlike(NOT_CALENDAR), nothing)
+        .otherwise(
+            _let(F.split(F.trim(cron), r"\s+"), lambda fields: _fires(fields, day))
+        )
+    )
+
 
+def _fires(fields: Column, day: Column) -> Column:
     def part(i: int) -> Column:
-        return F.get(parts, F.lit(i))
+        return F.get(fields, F.lit(i))
 
     minute, hour = part(0), part(1)
     dom = F.when(part(2) == "?", "*").otherwise(part(2))
     month = _numbers(part(3), MONTHS)
     dow = F.when(part(4) == "?", "*").otherwise(_numbers(part(4), WEEKDAYS))
     readable = (
-        (F.size(parts) == 5)
+        (F.size(fields) == 5)
         & _valid(minute, 0, 59)
         & _valid(hour, 0, 23)
         & _valid(dom, 1, 31)
@@ -115,11 +135,4 @@ def schedule_due(schedule: Column | str, day: Column) -> Column:
     any_dow = dow.isin("*", "*/1", "0-6", "1-7", "0-7")
     day_hit = F.when(any_dom | any_dow, dom_hit & dow_hit).otherwise(dom_hit | dow_hit)
     fires = _hits(month, F.month(day), 1, 12) & day_hit
-    nothing = F.lit(None).cast("boolean")
-    return (
-        F.when(raw.isNull() | word.isin(list(NONE_WORDS)), nothing)
-        .when(word.isin(list(NEVER_PRESETS)), F.lit(False))
-        .when(raw.rlike(NOT_CALENDAR), nothing)
-        .when(F.coalesce(readable, F.lit(False)), fires)
-        .otherwise(nothing)
-    )
+    return F.when(F.coalesce(readable, F.lit(False)), fires)

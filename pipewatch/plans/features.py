@@ -17,6 +17,7 @@ from pipewatch.operators.timeline import (
     trailing_quantile,
     trailing_streaks,
 )
+from pipewatch.session import durable
 from pipewatch.settings import DAY, HOUR, FeatureSettings
 
 KEYS = ["dag_id", "run_id", "logical_date"]
@@ -513,5 +514,6 @@ def inference_frame(
     cfg: FeatureSettings,
 ) -> DataFrame:
     """Feature frame of the day's runs and of the pipelines expected that day."""
-    targets = inference_targets(runs, pipelines, day)
+    # A day's targets are few and every feature family asks for them: find them once.
+    targets = durable(inference_targets(runs, pipelines, day))
     return feature_frame(targets, runs, tasks, pipelines, signals, cfg)
