@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pipewatch.catalog import bindings as b
 from pipewatch.catalog import bindings_sql as s
 from pipewatch.functions import scalars
+from pipewatch.operators.ranking import latest_version, with_group_index
 from pipewatch.plans import publish
 from pipewatch.settings import PublishSettings
 
@@ -76,8 +77,6 @@ CONTENT_SQL = """content AS (SELECT regexp_replace(path, '^base/', '') AS target
 
 
 def _content(spark, sf):
-    from pipewatch.operators.ranking import latest_version
-
     newest = latest_version(b.document_objects(spark, sf), ["path"], [F.desc("doc_id")])
     return newest.select(
         F.regexp_replace("path", "^base/", "").alias("target"), publish.text_hash("text").alias("content_hash")
@@ -158,10 +157,7 @@ GENERATED = "2026-06-20T06:00:00+00:00"
 
 def _numbered(spark, sf):
     """Rows with their position inside the artefact, from 0."""
-    from pyspark.sql import Window
-
-    w = Window.partitionBy("target").orderBy("row_no")
-    return b.artefact_rows(spark, sf).withColumn("row_no", F.row_number().over(w) - 1)
+    return with_group_index(b.artefact_rows(spark, sf), ["target"], ["row_no"])
 
 
 def esc(c):

@@ -87,3 +87,19 @@ def with_row_index(
         )
         .drop("_part", "_off", "_id")
     )
+
+
+def with_group_index(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[Column | str],
+    index_col: str = "row_no",
+) -> DataFrame:
+    """Exact 0-based position inside each group, however large the group is."""
+    indexed = with_row_index(df, [*keys, *order], "_index")
+    first = indexed.groupBy(*keys).agg(F.min("_index").alias("_first"))
+    return (
+        indexed.join(first, list(keys))
+        .withColumn(index_col, F.col("_index") - F.col("_first"))
+        .drop("_index", "_first")
+    )
