@@ -218,7 +218,7 @@ def _(spark, sf):
 
 @add(
     "prob_fallback",
-    f"""WITH {s.SCORED}, own AS (SELECT *, coalesce(calibrated, raw, least(greatest(hard, 0), 1)) AS o FROM scored),
+    f"""WITH {s.SCORED}, own AS (SELECT *, coalesce(calibrated, raw, CASE WHEN hard IS NOT NULL THEN least(greatest(hard, 0), 1) END) AS o FROM scored),
 med AS (SELECT quantile_cont(o, 0.5) AS m FROM own)
 SELECT dag_id, run_id, round(least(greatest(coalesce(o, m, 0.5), 0), 1), 6) AS prob FROM own, med""",
 )

@@ -246,7 +246,8 @@ def clean_probabilities(
 
     The median is over the rows that had a finite value of their own.
     """
-    clipped_hard = F.least(F.greatest(finite(hard), F.lit(0.0)), F.lit(1.0))
+    h = finite(hard)
+    clipped_hard = F.when(h.isNotNull(), F.least(F.greatest(h, F.lit(0.0)), F.lit(1.0)))
     own = df.withColumn("_own", F.coalesce(finite(calibrated), finite(raw), clipped_hard))
     median = exact_quantiles(own, "_own", {"m": 0.5}).select("m").scalar()
     filled = F.coalesce(F.col("_own"), median, F.lit(0.5))

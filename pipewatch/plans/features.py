@@ -499,9 +499,16 @@ def training_frame(
     pipelines: DataFrame,
     signals: DataFrame | None,
     cfg: FeatureSettings,
+    start: date | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """(feature frame of the labelled runs, dropped targets)."""
+    """(feature frame of the labelled runs, dropped targets).
+
+    ``start`` limits the targets; earlier runs still count as their history.
+    """
     kept, dropped = training_targets(runs, cfg)
+    if start is not None:
+        recent = F.col("logical_date") >= F.lit(datetime(start.year, start.month, start.day))
+        kept, dropped = kept.where(recent), dropped.where(recent)
     return feature_frame(kept, runs, tasks, pipelines, signals, cfg), dropped
 
 
