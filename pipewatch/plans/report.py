@@ -63,7 +63,7 @@ def top_rows(df: DataFrame, n: int = 10, tie_break: tuple[str, ...] = ("dag_id",
 
     Only the at most ``n`` fillers are ranked; the High rows need no order here.
     """
-    order = [F.col(PROB).desc_nulls_last(), *tie_break]
+    order = [finite(PROB).desc_nulls_last(), *tie_break]
     is_high = F.coalesce(F.col("risk_bucket") == "High", F.lit(False))
     highs = df.where(is_high)
     fillers = df.where(~is_high).orderBy(*order).limit(n)
