@@ -63,10 +63,12 @@ def _(spark, sf):
 SELECT doc_id, {counts_sql(text.ERROR_PATTERNS, 'error_cat_')}, {counts_sql(text.KEYWORD_PATTERNS, 'kw_')} FROM lines""",
 )
 def _(spark, sf):
-    d = b.table(spark, sf, "documents").withColumn("_lines", text.split_lines("text"))
+    d = b.table(spark, sf, "documents").withColumn(
+        "_lines", text.split_lines("text")
+    ).withColumn("_low", text.folded("text"))
     cols = {
-        **text.line_count_columns("_lines", text.ERROR_PATTERNS, "error_cat_"),
-        **text.line_count_columns("_lines", text.KEYWORD_PATTERNS, "kw_"),
+        **text.line_count_columns("_lines", text.ERROR_PATTERNS, "error_cat_", "text", "_low"),
+        **text.line_count_columns("_lines", text.KEYWORD_PATTERNS, "kw_", "text", "_low"),
     }
     return d.select("doc_id", *[c.alias(n) for n, c in cols.items()])
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -65,10 +66,15 @@ def _col(c: Column | str) -> Column:
 
 def split_lines(text: Column | str) -> Column:
     """Lines at every Unicode line break; a break at the end opens no new line."""
-    t = F.regexp_replace(_col(text), rf"(?:{LINE_BREAKS})\z", "")
-    return F.when(_col(text) == "", F.array().cast("array<string>")).otherwise(
-        F.split(t, LINE_BREAKS)
+    pieces = F.array(F.split(_col(text), LINE_BREAKS))
+    # The empty piece after a final break, or of an empty text, is no line.
+    trimmed = F.transform(
+        pieces,
+        lambda ls: F.when(
+            F.element_at(ls, -1) == "", F.slice(ls, F.lit(1), F.size(ls) - 1)
+        ).otherwise(ls),
     )
+    return F.get(trimmed, F.lit(0))
 
 
 def log_text(full_block: Column | str, message: Column | str) -> Column:
@@ -81,19 +87,84 @@ def is_blank(c: Column | str) -> Column:
     return F.coalesce(~_col(c).rlike(r"(?U)\S"), F.lit(True))
 
 
-def _matches(line: Column, patterns: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a | b, [line.rlike(f"(?iu){p}") for p in patterns])
+# Characters whose case folding plain lower-casing misses.
+_FOLD_FROM, _FOLD_TO = "\u017f\u0131\u0130\u212a", "siik"
 
 
-def count_matching_lines(lines: Column | str, patterns: Sequence[str]) -> Column:
-    return F.size(F.filter(_col(lines), lambda line: _matches(line, patterns)))
+def folded(c: Column | str) -> Column:
+    """Lower-case form in which a literal occurs iff it occurs case-blind in the text."""
+    t = _col(c)
+    special = reduce(lambda a, b: a | b, [F.contains(t, F.lit(ch)) for ch in _FOLD_FROM])
+    return F.lower(F.when(special, F.translate(t, _FOLD_FROM, _FOLD_TO)).otherwise(t))
+
+
+_LITERAL = re.compile(r"[a-z0-9 _:'\"/@%=,;<>~`!#&-]+")
+_JOINTS = re.compile(r"\.\*|\.\+|\.\?|\\s")
+
+
+def _alternative(alt: str, text: Column, low: Column) -> Column:
+    """Case-blind search of one alternative, by plain substring search where possible.
+
+    Literal pieces around wildcards must all occur, so they are looked for first.
+    """
+    if _LITERAL.fullmatch(alt):
+        return F.contains(low, F.lit(alt))
+    found = text.rlike(f"(?iu){alt}")
+    if _is_plain(alt):
+        pieces = [F.contains(low, F.lit(p)) for p in _JOINTS.split(alt) if p]
+        return reduce(lambda a, b: a & b, pieces) & found
+    return found
+
+
+def _alternatives(patterns: Sequence[str]) -> list[str]:
+    """Patterns cut at their bars; one with groups, classes or an escaped bar stays whole."""
+    out: list[str] = []
+    for p in patterns:
+        whole = "(" in p or "[" in p or "\\|" in p
+        out += [p] if whole else p.split("|")
+    return out
+
+
+def _is_plain(alt: str) -> bool:
+    pieces = [p for p in _JOINTS.split(alt) if p]
+    return bool(pieces) and all(_LITERAL.fullmatch(p) for p in pieces)
+
+
+def matches_any(patterns: Sequence[str], text: Column, low: Column) -> Column:
+    """Does any pattern occur, ignoring case? ``low`` is the folded ``text``."""
+    return reduce(
+        lambda a, b: a | b, [_alternative(x, text, low) for x in _alternatives(patterns)]
+    )
+
+
+def count_matching_lines(
+    lines: Column | str,
+    patterns: Sequence[str],
+    text: Column | str | None = None,
+    low: Column | str | None = None,
+) -> Column:
+    """Lines that hit any pattern, each counted once.
+
+    Given the whole ``text`` (and its folded form ``low``), its lines are only looked at when the text has a hit;
+    patterns with anchors or groups, which may read differently there, always look.
+    """
+    hit = F.size(F.filter(_col(lines), lambda line: matches_any(patterns, line, folded(line))))
+    if text is None or not all(_is_plain(x) for x in _alternatives(patterns)):
+        return hit
+    t = _col(text)
+    whole = folded(t) if low is None else _col(low)
+    return F.when(t.isNotNull() & ~matches_any(patterns, t, whole), 0).otherwise(hit)
 
 
 def line_count_columns(
-    lines: Column | str, patterns: Mapping[str, Sequence[str]], prefix: str
+    lines: Column | str,
+    patterns: Mapping[str, Sequence[str]],
+    prefix: str,
+    text: Column | str | None = None,
+    low: Column | str | None = None,
 ) -> dict[str, Column]:
     return {
-        f"{prefix}{name}": count_matching_lines(lines, pats)
+        f"{prefix}{name}": count_matching_lines(lines, pats, text, low)
         for name, pats in patterns.items()
     }
 
@@ -117,11 +188,17 @@ def classify_error(
 ) -> Column:
     """The first category whose pattern occurs in the whole text."""
     t = F.coalesce(_col(text), F.lit(""))
-    out = None
-    for name, pattern in categories:
-        hit = t.rlike(f"(?iu){pattern}")
-        out = F.when(hit, name) if out is None else out.when(hit, name)
-    return F.lit(default) if out is None else out.otherwise(default)
+
+    def first(pair: Column) -> Column:
+        out = None
+        for name, pattern in categories:
+            hit = matches_any([pattern], pair["t"], pair["low"])
+            out = F.when(hit, name) if out is None else out.when(hit, name)
+        return F.lit(default) if out is None else out.otherwise(default)
+
+    # Folded once per text, however many categories look at it.
+    pair = F.array(F.struct(t.alias("t"), folded(t).alias("low")))
+    return F.get(F.transform(pair, first), F.lit(0))
 
 
 def stack_hint(text: Column | str, max_len: int = 200) -> Column:

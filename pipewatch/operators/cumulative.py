@@ -9,15 +9,28 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 CUTS = 64
 
 
-def _cut_points(df: DataFrame, order: str, cuts: int) -> list[float]:
-    """At most ``cuts`` split points; approximate ones are enough, balance is all.
+def _with_piece(df: DataFrame, order: str, keys: Sequence[str], cuts: int) -> DataFrame:
+    """``df`` with ``_piece``: which of about ``cuts`` equal ranges the value lies in.
 
-    They become literals: computed twice they could differ between two branches of
-    one plan.
+    Approximate split points are enough, balance is all. They are fetched once, a few
+    numbers per key, because computed twice they could differ between two branches of
+    one plan. Keys are splits or columns: few.
     """
     qs = [i / (cuts + 1) for i in range(1, cuts + 1)]
-    row = df.agg(F.percentile_approx(order, qs, 1000).alias("c")).first()
-    return sorted(set(row["c"] or []))
+    points = F.percentile_approx(order, qs, 1000)
+    rows = df.groupBy(*keys).agg(F.array_distinct(points.cast("array<double>")).alias("_cuts"))
+    value = F.col(order).cast("double")
+    if not keys:
+        found = rows.first()["_cuts"] or []
+        literal = F.array(*[F.lit(c) for c in found]) if found else F.array().cast("array<double>")
+        return df.withColumn("_piece", F.size(F.filter(literal, lambda c: c < value)))
+    spark = df.sparkSession
+    local = spark.createDataFrame(rows.collect(), rows.schema)
+    return (
+        df.join(local, list(keys))
+        .withColumn("_piece", F.size(F.filter("_cuts", lambda c: c < value)))
+        .drop("_cuts")
+    )
 
 
 def cumulative_sums(
@@ -35,14 +48,7 @@ def cumulative_sums(
     the ranges: no task holds all values.
     """
     keys = list(keys)
-    points = _cut_points(df, order, cuts)
-    piece = F.size(
-        F.filter(
-            F.array(*[F.lit(float(p)) for p in points]) if points else F.array(),
-            lambda c: c.cast("double") < F.col(order).cast("double"),
-        )
-    )
-    placed = df.withColumn("_piece", piece)
+    placed = _with_piece(df, order, keys, cuts)
     along = F.col(order).desc() if descending else F.col(order).asc()
     pieces = F.col("_piece").desc() if descending else F.col("_piece").asc()
     inside = (

@@ -164,30 +164,37 @@ def task_deltas(tasks: DataFrame, runs: DataFrame, cfg: FeatureSettings) -> Data
         else F.lit(False).alias("_crit"),
         scalars.state_in("state", cfg.critical_failed_states).alias("_critbad"),
     )
-    # One scan: each task opens at its run and leaves the two windows at two times.
+    # One scan: each task opens both windows at its run and leaves each at its own time.
+    windows = base.selectExpr(
+        "*",
+        f"coalesce(coalesce(_s, _q) + {30 * DAY}L > _run, false) AS _in_t",
+        f"coalesce(_q + {7 * DAY}L > _run, false) AS _in_q",
+    )
     edges = (
-        f"inline(array(struct('t' AS _w, coalesce(_s, _q) + {30 * DAY}L AS _closes),"
-        f" struct('q' AS _w, _q + {7 * DAY}L AS _closes)))"
+        "inline(array(struct(0 AS _edge, _run AS at),"
+        f" struct(30 AS _edge, coalesce(_s, _q) + {30 * DAY}L AS at),"
+        f" struct(7 AS _edge, _q + {7 * DAY}L AS at)))"
     )
-    both = (
-        base.selectExpr("*", edges)
-        .where("_closes > _run")
-        .selectExpr("*", "inline(array(struct(_run AS at, 1L AS _sign), struct(_closes AS at, -1L AS _sign)))")
+    signed = windows.selectExpr("*", edges).where(
+        "CASE _edge WHEN 0 THEN _in_t OR _in_q WHEN 30 THEN _in_t ELSE _in_q END"
     )
-    values = [
-        ("t", "1", "_tn"),
-        ("t", "_try - 1", "_retries"),
-        ("t", "IF(_try > 1, 1, 0)", "_retried"),
-        ("t", "_bad", "_bad"),
-        ("t", "IF(_crit, 1, 0)", "_cn"),
-        ("t", "IF(_crit AND _critbad, 1, 0)", "_cbad"),
-        ("q", "IF(_s IS NOT NULL, 1, NULL)", "_qn"),
-    ]
-    return both.selectExpr(
+
+    def value(text: str, edge: int, name: str, kind: str = "bigint") -> str:
+        inside = "_in_t" if edge == 30 else "_in_q"
+        v = f"CAST({text} AS {kind})"
+        return f"CASE WHEN _edge = {edge} THEN -{v} WHEN _edge = 0 AND {inside} THEN {v} END AS {name}"
+
+    return signed.selectExpr(
         "dag_id",
         "at",
-        *[f"CASE WHEN _w = '{w}' THEN ({v}) * _sign END AS {n}" for w, v, n in values],
-        "CASE WHEN _w = 'q' THEN CAST((_s - _q) * _sign AS decimal(28,0)) END AS _qs",
+        value("1", 30, "_tn"),
+        value("_try - 1", 30, "_retries"),
+        value("IF(_try > 1, 1, 0)", 30, "_retried"),
+        value("_bad", 30, "_bad"),
+        value("IF(_crit, 1, 0)", 30, "_cn"),
+        value("IF(_crit AND _critbad, 1, 0)", 30, "_cbad"),
+        value("IF(_s IS NOT NULL, 1, NULL)", 7, "_qn"),
+        value("_s - _q", 7, "_qs", "decimal(28,0)"),
     )
 
 

@@ -27,10 +27,10 @@ def mined_logs(
     """
     body = logs.withColumn("_text", text.log_text("full_block", "message")).withColumn(
         "_lines", text.split_lines("_text")
-    )
+    ).withColumn("_low", text.folded("_text"))
     counts = {
-        **text.line_count_columns("_lines", errors, "error_cat_"),
-        **text.line_count_columns("_lines", keywords, "kw_"),
+        **text.line_count_columns("_lines", errors, "error_cat_", "_text", "_low"),
+        **text.line_count_columns("_lines", keywords, "kw_", "_text", "_low"),
     }
     kept = [c for c in logs.columns if c not in ("full_block", "message")]
     return body.select(

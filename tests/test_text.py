@@ -52,6 +52,25 @@ def test_categories_in_order(spark):
     assert column(spark, [None], text.classify_error("x")) == ["Other"]
 
 
+def test_case_blind_counts(spark):
+    import re
+
+    lines = [
+        "TİMEOUT", "tıme out", "tıMeout", "ſocket", "IAM", "rate  limit", "RATE LIMIT", "job 1 FAILED", "failed job",
+        "to\u212aen", "", "a.b?", "end.", "End!", "table x does not exist", None,
+    ]
+    groups = [
+        ("timeout", "iam"), ("rate.?limit|429",), ("job.*failed",), ("token",), (r"[!?.]$",), ("socket|table.*not exist",),
+        (r"(end|job)\W",),
+    ]
+    for pats in groups:
+        got = column(spark, ["\n".join(x or "" for x in lines)], text.count_matching_lines(text.split_lines("x"), pats, "x"))
+        want = sum(any(re.search(p, x or "", re.I) for p in pats) for x in lines)
+        assert got == [want], pats
+        each = column(spark, lines, text.matches_any(pats, F.col("x"), text.folded("x")))
+        assert each == [None if x is None else any(re.search(p, x, re.I) is not None for p in pats) for x in lines], pats
+
+
 def test_stack_hint(spark):
     values = [
         "Traceback\n  File x\nmy.mod.BadError: no\nlater line",
