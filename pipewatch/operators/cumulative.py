@@ -21,8 +21,10 @@ def _with_piece(df: DataFrame, order: str, keys: Sequence[str], cuts: int) -> Da
     rows = df.groupBy(*keys).agg(F.array_distinct(points.cast("array<double>")).alias("_cuts"))
     value = F.col(order).cast("double")
     if not keys:
-        found = rows.first()["_cuts"] or []
-        literal = F.array(*[F.lit(c) for c in found]) if found else F.array().cast("array<double>")
+        found = rows.first()["_cuts"]
+        if not found:
+            return df.withColumn("_piece", F.lit(0))
+        literal = F.array(*[F.lit(c) for c in found])
         return df.withColumn("_piece", F.size(F.filter(literal, lambda c: c < value)))
     spark = df.sparkSession
     local = spark.createDataFrame(rows.collect(), rows.schema)
