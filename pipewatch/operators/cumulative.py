@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 CUTS = 64
 
 
-def _with_piece(df: DataFrame, order: str, keys: Sequence[str], cuts: int) -> DataFrame:
+def _with_piece(df: DataFrame, order: str, keys: list[str], cuts: int) -> DataFrame:
     """``df`` with ``_piece``: which of about ``cuts`` equal ranges the value lies in.
 
     Approximate split points are enough, balance is all. They are fetched once, a few
@@ -17,22 +17,22 @@ def _with_piece(df: DataFrame, order: str, keys: Sequence[str], cuts: int) -> Da
     one plan. Keys are splits or columns: few.
     """
     qs = [i / (cuts + 1) for i in range(1, cuts + 1)]
-    points = F.percentile_approx(order, qs, 1000)
-    rows = df.groupBy(*keys).agg(F.array_distinct(points.cast("array<double>")).alias("_cuts"))
-    value = F.col(order).cast("double")
+    points = F.percentile_approx(order, qs, 1000).cast("array<double>").alias("_cuts")
+    rows = df.groupBy(*keys).agg(points).collect()
     if not keys:
-        found = rows.first()["_cuts"]
-        if not found:
-            return df.withColumn("_piece", F.lit(0))
-        literal = F.array(*[F.lit(c) for c in found])
-        return df.withColumn("_piece", F.size(F.filter(literal, lambda c: c < value)))
-    spark = df.sparkSession
-    local = spark.createDataFrame(rows.collect(), rows.schema)
-    return (
-        df.join(local, list(keys))
-        .withColumn("_piece", F.size(F.filter("_cuts", lambda c: c < value)))
-        .drop("_cuts")
+        found = sorted(set(rows[0]["_cuts"] or []))
+        above = " + ".join(f"int({order} > {c!r}D)" for c in found)
+        return df.selectExpr("*", f"{above or '0'} AS _piece")
+    if not rows:
+        return df.withColumn("_piece", F.lit(0))
+    names = [f"_cut{i}" for i in range(cuts)]
+    kinds = [f"{k} {df.schema[k].dataType.simpleString()}" for k in keys]
+    local = df.sparkSession.createDataFrame(
+        [(*[r[k] for k in keys], *r["_cuts"]) for r in rows],
+        ", ".join(kinds + [f"{n} double" for n in names]),
     )
+    above = " + ".join(f"int({order} > {n})" for n in names)
+    return df.join(local, keys).selectExpr(*df.columns, f"{above} AS _piece")
 
 
 def cumulative_sums(
