@@ -9,11 +9,13 @@ from pipewatch.catalog.scan_queries import CFG, IDS, TARGET_DAY, order_frame
 from pipewatch.ml import explain, fit, score
 from pipewatch.ml.prep import feature_columns
 from pipewatch.plans import features as ft
+from pipewatch.session import durable
 from pipewatch.settings import ModelSettings
 
 QUERIES, ORACLES = {}, {}
 MODEL = ModelSettings(val_days=300, test_days=300)
 _models: dict = {}
+_frames: dict = {}
 
 
 def add(name):
@@ -36,11 +38,19 @@ def _columns(frame):
     return [c for c in feature_columns(frame) if c != "fileloc"]
 
 
+def _frame(spark, sf):
+    """The training frame, written once per session and folder."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _frames:
+        _frames[key] = durable(order_frame(spark, sf))
+    return _frames[key]
+
+
 def trained(spark, sf, boosted):
     """(bundle, scored frame), fitted once per session and folder."""
     key = (spark.sparkContext.applicationId, sf, boosted)
     if key not in _models:
-        frame = order_frame(spark, sf)
+        frame = _frame(spark, sf)
         _models[key] = fit.train(frame, MODEL, _columns(frame), boosted, CANDIDATES)
     return _models[key]
 

@@ -87,7 +87,8 @@ def cumulative_sums(
 def finite(column: Column | str) -> Column:
     """The value as double, NULL when it is NULL, NaN or infinite."""
     c = (F.col(column) if isinstance(column, str) else column).cast("double")
-    return F.when(~F.isnan(c) & (F.abs(c) != F.lit(float("inf"))), c)
+    # Zero times NaN or infinity is not zero.
+    return F.when(c * 0.0 == 0.0, c)
 
 
 def exact_quantiles(
