@@ -253,7 +253,8 @@ def task_columns(cfg: FeatureSettings) -> dict[str, Column]:
 
 
 def _instants(targets: DataFrame, keys: list[str]) -> DataFrame:
-    return _with_micros(targets).select(*keys, "at").dropna().distinct()
+    # Repeated instants are merged where the targets meet the events.
+    return _with_micros(targets).select(*keys, "at").dropna()
 
 
 def _attach(targets: DataFrame, found: DataFrame, keys: list[str]) -> DataFrame:
