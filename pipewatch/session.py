@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +19,8 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8) -> SparkSes
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("PIPEWATCH_DRIVER_MEMORY", "12g"))
         .config("spark.ui.enabled", "false")
+        # A checkpoint goes as soon as nothing reads it any more.
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         # Column call sites are only for error messages and slow plan building down.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
@@ -33,8 +36,9 @@ def _ensure_checkpoint_dir(spark: SparkSession) -> None:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         context.setCheckpointDir(configured)
-    elif context.master.startswith("local"):
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="pipewatch-ckpt-"))
+    elif re.match(r"local(\[|$)", context.master):
+        # One machine: every task sees its temporary folder.
+        context.setCheckpointDir(os.path.join(tempfile.gettempdir(), "pipewatch-checkpoints"))
     else:
         raise RuntimeError(
             "set spark.checkpoint.dir to a folder every executor can reach"
@@ -49,3 +53,9 @@ def durable(df: DataFrame) -> DataFrame:
     """
     _ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The checkpoint folder of this session: shared by the driver and all executors."""
+    _ensure_checkpoint_dir(spark)
+    return spark.sparkContext.getCheckpointDir()
