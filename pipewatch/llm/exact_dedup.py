@@ -88,10 +88,13 @@ def exact_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
         "_key", F.col("_key").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "text_sha256"
     )
     shuffled = tested.where("_maybe")
-    groups = shuffled.groupBy("text_sha256").agg(
-        F.max(F.struct("_key", "_row")).alias("_keep"), F.count(F.lit(1)).alias("group_size")
+    # A hot text is one row of ``groups``. Made durable, it has an exchange of its own in the
+    # join, so that adaptive execution can split the hot text's rows on the other side.
+    groups = durable(
+        shuffled.groupBy("text_sha256").agg(
+            F.max(F.struct("_key", "_row")).alias("_keep"), F.count(F.lit(1)).alias("group_size")
+        )
     )
-    # A hot text is one row of ``groups``; adaptive execution splits its rows on the other side.
     settled = shuffled.join(groups, "text_sha256").select(
         "_key", F.col("_keep._key").alias("keep_id"), "group_size", (F.col("_row") == F.col("_keep._row")).alias("kept"), "text_sha256"
     )

@@ -4,13 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from pipewatch.llm.bpe import bpe_decode, bpe_encode
 from pipewatch.llm.common import read_table
 from pipewatch.llm.exact_dedup import exact_groups
+from pipewatch.llm.packing import pack_documents
 from pipewatch.llm.sharding import shard_records
 
 SHARDS = 16
 
 
+def vocabulary(name: str) -> str:
+    """A public tokenizer's file; every executor has the package that holds it."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(read_table(spark, sf_dir, "documents"))
 
@@ -23,14 +32,36 @@ g AS (SELECT text_sha256, max(doc_id) AS keep_id, count(*) AS group_size FROM d
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM d JOIN g USING (text_sha256)"""
 
 
+def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = vocabulary("byte_bpe_50k.json")
+    docs = read_table(spark, sf_dir, "documents")
+    encoded = docs.select("doc_id", bpe_encode(F.col("text"), path).alias("ids"))
+    decoded = encoded.select("doc_id", "ids", bpe_decode(F.col("ids"), path).alias("decoded"))
+    return decoded.select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_records(read_table(spark, sf_dir, "documents"), [1.0] * SHARDS).select(
         "doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard"
     )
 
 
+def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = pack_documents(read_table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+    return placed.select(
+        "doc_id", "piece", "start", F.col("length").cast("long").alias("length"), "ids_crc32", "sequence_id", "offset"
+    )
+
+
 QUERIES = {
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_bpe": op3_bpe,
     "op9_sharding": op9_sharding,
+    "op10_best_fit_packing": op10_best_fit_packing,
 }
 ORACLES = {"op2_exact_dedup": OP2_SQL}
