@@ -165,7 +165,7 @@ class SpeculativeBpe:
         if len(self.known) > REMEMBERED:
             self.known.clear()
         known = self.known
-        new = list(set().union(*parts) - known.keys())
+        new = list({w for words in parts for w in words if w not in known})
         for word, ids in zip(new, self.encode_words([w.encode() for w in new])):
             known[word] = np.array(ids, "<u4").tobytes()
         return [b"".join([known[w] for w in words]) for words in parts]

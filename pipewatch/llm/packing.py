@@ -84,7 +84,7 @@ class ChunkIds:
             try:
                 out.append(b"".join([known[c] for c in chunks]))
             except KeyError:
-                for c in set(chunks) - known.keys():
+                for c in {c for c in chunks if c not in known}:
                     known[c] = np.array(self._ids(c), "<u4").tobytes()
                 out.append(b"".join([known[c] for c in chunks]))
         return b"".join(out)
