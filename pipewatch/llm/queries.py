@@ -9,6 +9,7 @@ from pipewatch.llm.common import read_table
 from pipewatch.llm.exact_dedup import exact_groups
 from pipewatch.llm.packing import pack_documents
 from pipewatch.llm.sharding import shard_records
+from pipewatch.llm.warc import round_trip
 
 SHARDS = 16
 
@@ -45,6 +46,26 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(spark, read_table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+OP7_SQL = """WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS hex FROM pages),
+d AS (
+  SELECT page_id, payload_bytes, array_to_string(list_transform(range(32), lambda i:
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           (((('0x' || substr(hex, (i // 8) * 10 + 1, 10))::BIGINT >> (35 - 5 * (i % 8))) & 31) + 1)::INT, 1)), '') AS payload_digest
+  FROM p),
+g AS (SELECT payload_digest, max(page_id) AS response FROM d GROUP BY payload_digest)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN page_id = response THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> response THEN response END AS refers_to
+FROM d JOIN g USING (payload_digest)"""
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_records(read_table(spark, sf_dir, "documents"), [1.0] * SHARDS).select(
         "doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard"
@@ -61,7 +82,8 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_exact_dedup": op2_exact_dedup,
     "op3_bpe": op3_bpe,
+    "op7_warc": op7_warc,
     "op9_sharding": op9_sharding,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
-ORACLES = {"op2_exact_dedup": OP2_SQL}
+ORACLES = {"op2_exact_dedup": OP2_SQL, "op7_warc": OP7_SQL}
