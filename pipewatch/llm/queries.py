@@ -9,6 +9,7 @@ from pipewatch.llm.chat import format_conversations, read_back
 from pipewatch.llm.common import read_table
 from pipewatch.llm.exact_dedup import exact_groups
 from pipewatch.llm.packing import pack_documents
+from pipewatch.llm.quality import STATISTICS, quality_rules
 from pipewatch.llm.sharding import shard_records
 from pipewatch.llm.warc import round_trip
 
@@ -54,6 +55,11 @@ def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_back(format_conversations(turns.unionByName(extra)))
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    return quality_rules(docs, labels).select("doc_id", *STATISTICS, "base_failed", "kept")
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(spark, read_table(spark, sf_dir, "pages")).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
@@ -91,6 +97,7 @@ QUERIES = {
     "op2_exact_dedup": op2_exact_dedup,
     "op3_bpe": op3_bpe,
     "op4_chat_formatting": op4_chat_formatting,
+    "op5_quality_rules": op5_quality_rules,
     "op7_warc": op7_warc,
     "op9_sharding": op9_sharding,
     "op10_best_fit_packing": op10_best_fit_packing,
