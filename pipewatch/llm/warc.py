@@ -151,8 +151,10 @@ def with_revisits(pages: DataFrame, revisit_from: int = 0, key: str = "page_id",
     joined = rows.join(groups, F.col("digest") == F.col("of"), "left")
     chosen = F.col("of").isNotNull() & F.col("key").eqNullSafe(F.col("response"))
     columns = ["key", "url", "payload", "digest", F.when(F.col("revisit"), F.col("response")).alias("refers_to"), "revisit"]
+    if not groups.where("rivals > 1").head(1):
+        return joined.withColumn("revisit", F.col("of").isNotNull() & ~chosen).select(*columns)
+    # Some rows repeat the key of a response: the first of them is the response.
     plain = joined.where(~(chosen & (F.col("rivals") > 1))).withColumn("revisit", F.col("of").isNotNull() & ~chosen)
-    # Rows that repeat the key of the response, if any: the first of them is the response.
     first = F.row_number().over(Window.partitionBy("digest").orderBy("url"))
     tied = joined.where(chosen & (F.col("rivals") > 1)).withColumn("revisit", first > 1)
     return plain.select(*columns).unionByName(tied.select(*columns))
