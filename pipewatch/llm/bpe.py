@@ -27,9 +27,9 @@ from pyspark.sql import Column, functions as F
 # The fixed pattern of the byte-level pre-tokenizer.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 # Words whose ids a worker remembers; all are forgotten when there are more.
-REMEMBERED = 500_000
+REMEMBERED = 150_000
 # Characters of a text, and of a group of texts, that are split at a time.
-SLICE = 1 << 20
+SLICE = 1 << 18
 
 _NEVER = np.int64(1) << 40
 

@@ -11,6 +11,7 @@ from pipewatch.llm.exact_dedup import exact_groups
 from pipewatch.llm.packing import pack_documents
 from pipewatch.llm.quality import STATISTICS, quality_rules
 from pipewatch.llm.sharding import shard_records
+from pipewatch.llm.toxicity import REJECT_FROM, fit_toxicity, held_out, toxicity
 from pipewatch.llm.warc import round_trip
 
 SHARDS = 16
@@ -60,6 +61,13 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(docs, labels).select("doc_id", *STATISTICS, "base_failed", "kept")
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    model = fit_toxicity(docs, labels.where(~held_out()))
+    scored = docs.select("doc_id", held_out().alias("held_out"), toxicity(F.col("text"), model).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= REJECT_FROM).cast("int"))
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(spark, read_table(spark, sf_dir, "pages")).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
@@ -98,6 +106,7 @@ QUERIES = {
     "op3_bpe": op3_bpe,
     "op4_chat_formatting": op4_chat_formatting,
     "op5_quality_rules": op5_quality_rules,
+    "op6_toxicity": op6_toxicity,
     "op7_warc": op7_warc,
     "op9_sharding": op9_sharding,
     "op10_best_fit_packing": op10_best_fit_packing,
