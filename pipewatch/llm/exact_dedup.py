@@ -1,6 +1,6 @@
 """Exact deduplication by two-pass Bloom filtering, in built-in functions only.
 
-Pass one hashes every text to two positions of a bit array and keeps the positions that two or
+Pass one hashes every text to positions of a bit array and keeps the positions that two or
 more rows hit: a Bloom filter of possibly repeated hashes. Pass two tests each row against it.
 A row that misses has no equal, so it passes straight through; only rows that hit are shuffled,
 by the SHA-256 of their text, and settled exactly. A false hit costs a shuffle, never a result.
@@ -14,66 +14,21 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from pipewatch.llm.bloom import bit_table, filter_bits, with_hits
 from pipewatch.llm.common import ascii_lower, whole_text
 from pipewatch.session import durable
 
-PROBES = 2
-# The filter is broadcast; this bounds it to 32 MB however many rows there are.
-MAX_BITS = 1 << 28
-BITS_PER_ROW = 16
-
-
 def text_digest(text: str = "text") -> Column:
     """SHA-256 of the normalised text, lower-case hex."""
     return F.sha2(ascii_lower(whole_text(text)), 256)
 
 
-def _positions(text: str, bits: int) -> list[Column]:
-    """One position per probe, each in its own part of the bit array, from 1."""
-    h = F.xxhash64(ascii_lower(whole_text(text)))
-    part = bits // PROBES
-    return [F.pmod(F.xxhash64(h, F.lit(i)), F.lit(part)) + F.lit(i * part + 1) for i in range(PROBES)]
-
-
-def filter_bits(rows: int) -> int:
-    bits = 1 << 16
-    while bits < BITS_PER_ROW * rows and bits < MAX_BITS:
-        bits *= 2
-    return bits
-
-
-def repeat_filter(docs: DataFrame, bits: int, text: str = "text") -> DataFrame:
-    """Bitmaps of 32,768 bits by bucket number: the positions that two rows or more hit.
-
-    Hits are added up on the map side, so a text that a third of the rows have sends one
-    partial count per task.
-    """
-    hits = docs.select(F.explode(F.array(*_positions(text, bits))).alias("position"))
-    return (
-        hits.groupBy("position")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .where("n > 1")
-        .groupBy(F.bitmap_bucket_number("position").alias("bucket"))
-        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("position")).alias("bitmap"))
-    )
-
-
 def with_maybe_repeated(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` plus ``_maybe``: false only where no other row has an equal text."""
     bits = filter_bits(docs.count())
-    seen = durable(repeat_filter(docs, bits, text))
-    hit = F.lit(True)
-    out = docs.withColumn("_probes", F.array(*_positions(text, bits)))
-    for i in range(PROBES):
-        probe = F.col("_probes")[i]
-        # At most bits / 32,768 rows of 4 kB: 32 MB by MAX_BITS.
-        part = F.broadcast(seen.select(F.col("bucket").alias(f"_bucket{i}"), F.col("bitmap").alias(f"_bitmap{i}")))
-        out = out.join(part, F.bitmap_bucket_number(probe) == F.col(f"_bucket{i}"), "left")
-        bit = F.bitmap_bit_position(probe)
-        byte = F.conv(F.hex(F.substring(F.col(f"_bitmap{i}"), (bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-        set_bit = F.floor(byte / F.pow(F.lit(2), bit % 8)).cast("int") % 2 == 1
-        hit = hit & F.coalesce(set_bit, F.lit(False))
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns], hit.alias("_maybe"))
+    hashed = F.xxhash64(ascii_lower(whole_text(text)))
+    repeated = bit_table(docs.select(hashed), bits, at_least=2)
+    return with_hits(docs, repeated, bits, hashed, "_maybe")
 
 
 def exact_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

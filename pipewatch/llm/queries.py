@@ -8,6 +8,7 @@ from pipewatch.llm.bpe import bpe_decode, bpe_encode
 from pipewatch.llm.chat import format_conversations, read_back
 from pipewatch.llm.common import read_table
 from pipewatch.llm.exact_dedup import exact_groups
+from pipewatch.llm.neardup import near_duplicates
 from pipewatch.llm.packing import pack_documents
 from pipewatch.llm.quality import STATISTICS, quality_rules
 from pipewatch.llm.sharding import shard_records
@@ -88,6 +89,10 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM d JOIN g USING (payload_digest)"""
 
 
+def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(read_table(spark, sf_dir, "documents"), percent=85)
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_records(read_table(spark, sf_dir, "documents"), [1.0] * SHARDS).select(
         "doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard"
@@ -108,6 +113,7 @@ QUERIES = {
     "op5_quality_rules": op5_quality_rules,
     "op6_toxicity": op6_toxicity,
     "op7_warc": op7_warc,
+    "op8_near_dedup": op8_near_dedup,
     "op9_sharding": op9_sharding,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
