@@ -40,6 +40,8 @@ MIN_TEXTS = 3
 DEFAULT_RATE = 0.1
 # Voters beside the lexicon: several words hit, a large share of the words hit.
 PATTERNS = 2
+# Different votes that one task sums up.
+PATTERNS_PER_TASK = 50_000
 
 SEED = """arsehole asshole bastard bitch bullshit clown crap creep cretin damn degenerate disgusting dumb dumbass
 filth filthy freak fuck garbage hate hideous idiot idiotic imbecile jerk loser lunatic moron moronic nasty
@@ -313,8 +315,10 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text:
     voted = narrow.join(chosen, F.col("key") == F.col("of"), "left").select(vote(F.col("text"), lexicon).alias("v"), "label")
     patterns = voted.groupBy("v", "label").agg(F.count(F.lit(1)).alias("n")).select("v.*", "label", "n")
     patterns = written(patterns, "toxic-votes")
-    size = len(lexicon) + 2
-    model = fit_label_model(patterns.groupBy("voters", "label").agg(F.sum("n").alias("n")), size)
+    size = len(lexicon) + PATTERNS
+    votes = written(patterns.groupBy("voters", "label").agg(F.sum("n").alias("n")), "toxic-patterns")
+    # Each task returns up to 2 V^2 sums, so there should be no more tasks than rows ask for.
+    model = fit_label_model(votes.coalesce(-(-votes.count() // PATTERNS_PER_TASK) or 1), size)
     # Equal votes are one row here; rows with and without hits each give up to half the sample.
     parts = []
     for has in (F.size("voters") > 0, F.size("voters") == 0):
