@@ -10,6 +10,7 @@ from pipewatch.llm.common import read_table
 from pipewatch.llm.exact_dedup import exact_groups
 from pipewatch.llm.neardup import near_duplicates
 from pipewatch.llm.packing import pack_documents
+from pipewatch.llm.pii import find_personal_data
 from pipewatch.llm.quality import STATISTICS, quality_rules
 from pipewatch.llm.sharding import shard_records
 from pipewatch.llm.toxicity import REJECT_FROM, fit_toxicity, held_out, toxicity
@@ -25,6 +26,10 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_personal_data(read_table(spark, sf_dir, "documents"))
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(read_table(spark, sf_dir, "documents"))
 
@@ -107,6 +112,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_pii": op1_pii,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_bpe": op3_bpe,
     "op4_chat_formatting": op4_chat_formatting,
