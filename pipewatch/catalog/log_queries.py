@@ -93,7 +93,7 @@ _SIGNAL_SUMS = ", ".join(
 @add(
     "run_log_signals",
     f"""WITH {s.DOC_LOGS},
-first AS (SELECT *, row_number() OVER (PARTITION BY dag_id, run_id ORDER BY doc_id) AS rn FROM doc_lines QUALIFY rn <= 200),
+first AS (SELECT *, row_number() OVER (PARTITION BY dag_id, run_id ORDER BY doc_id) AS rn FROM doc_lines),
 full_ones AS (SELECT *, row_number() OVER (PARTITION BY dag_id, run_id ORDER BY rn DESC) AS back FROM first WHERE regexp_matches(body, '\\S')),
 agg AS (SELECT dag_id, run_id, count(*) AS log_objects_parsed,
  CAST(sum(CAST(regexp_matches(body, '{b.DOC_STACKTRACE}') AS INTEGER)) AS BIGINT) AS stacktrace_seen_count,
@@ -204,7 +204,7 @@ sums AS (SELECT dag_id, run_id, count(*) AS log_count, CAST(max(try_number) AS I
 {modal_sql('dag_id, run_id', 'severe')},
 failed AS (SELECT l.dag_id, l.run_id, log_count, coalesce(top_task, '') AS top_failing_task, max_try_number, worst_severity,
  {TS.format('log_ts')} AS latest_log_ts, substring(coalesce(message, ''), 1, 300) AS latest_message,
- {classify_sql("substring(coalesce(message, ''), 1, 300) || ' ' || coalesce(full_block, '')")} AS error_category,
+ {classify_sql("coalesce(message, '') || ' ' || coalesce(full_block, '')")} AS error_category,
  {hint_sql('full_block')} AS stack_hint
  FROM latest l JOIN sums s ON l.dag_id = s.dag_id AND l.run_id = s.run_id
  LEFT JOIN modal m ON l.dag_id = m.dag_id AND l.run_id = m.run_id)"""

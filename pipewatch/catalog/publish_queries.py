@@ -88,7 +88,8 @@ def _state(content):
     text = F.to_json(
         F.struct(
             F.lit("77").alias("page_id"),
-            "content_hash",
+            # About half of them were published with other content.
+            F.when(F.col("content_hash") >= "8", F.col("content_hash")).otherwise("older").alias("content_hash"),
             "target",
             F.lit("2026-06-01T00:00:00+00:00").alias("published_at"),
         )
@@ -105,7 +106,7 @@ def _state(content):
 SELECT path_template, f.target, f.title, replace(replace(replace(f.target, '/', '_'), '.', '_'), ' ', '_') AS state_key, c.content_hash,
  CASE WHEN NOT dated AND c.content_hash IS NOT NULL THEN '77' END AS page_id,
  CASE WHEN dated AND f.title IN (SELECT title FROM wiki) THEN 'skipped_existing' WHEN c.content_hash IS NULL THEN 'error'
-  WHEN NOT dated THEN 'skipped_unchanged' ELSE 'publish' END AS action
+  WHEN NOT dated AND c.content_hash >= '8' THEN 'skipped_unchanged' ELSE 'publish' END AS action
 FROM found f LEFT JOIN content c ON c.target = f.target""",
 )
 def _(spark, sf):
@@ -119,7 +120,7 @@ def _(spark, sf):
     "outcome_summary",
     f"""WITH {FOUND_SQL}, {s.WIKI_PAGES}, {CONTENT_SQL}
 SELECT action, count(*) AS n FROM (SELECT CASE WHEN dated AND f.title IN (SELECT title FROM wiki) THEN 'skipped_existing'
-  WHEN c.content_hash IS NULL THEN 'error' WHEN NOT dated THEN 'skipped_unchanged' ELSE 'publish' END AS action
+  WHEN c.content_hash IS NULL THEN 'error' WHEN NOT dated AND c.content_hash >= '8' THEN 'skipped_unchanged' ELSE 'publish' END AS action
  FROM found f LEFT JOIN content c ON c.target = f.target) GROUP BY action""",
 )
 def _(spark, sf):

@@ -121,13 +121,12 @@ def _(spark, sf):
 @add(
     "failed_pipeline_logs",
     f"""WITH {s.EVENT_RUNS}, {s.EVENT_LOGS},
-ranked AS (SELECT l.*, row_number() OVER (PARTITION BY l.dag_id ORDER BY log_ts DESC) AS rn FROM event_logs l
-  WHERE l.dag_id IN (SELECT dag_id FROM event_runs WHERE state = 'failed'))
-SELECT dag_id, run_id, epoch_us(log_ts) AS log_us, severity FROM ranked WHERE rn <= 20""",
+kept AS (SELECT l.* FROM event_logs l WHERE l.dag_id IN (SELECT dag_id FROM event_runs WHERE state = 'failed'))
+SELECT dag_id, run_id, epoch_us(log_ts) AS log_us, severity FROM kept""",
 )
 def _(spark, sf):
     failed = tables.failed_pipelines(b.event_runs(spark, sf))
-    return tables.logs_of_pipelines(b.event_logs(spark, sf), failed, per_pipeline=20).select(
+    return tables.logs_of_pipelines(b.event_logs(spark, sf), failed).select(
         *IDS, micros("log_ts").alias("log_us"), "severity"
     )
 
@@ -137,11 +136,11 @@ def _(spark, sf):
     f"""WITH {s.EVENT_LOGS}
 SELECT dag_id, run_id, epoch_us(log_ts) AS log_us, severity FROM event_logs
 WHERE log_ts > TIMESTAMP '2024-01-10' AND log_ts < TIMESTAMP '2024-01-20'
- AND upper(severity) IN ('ERROR', 'CRITICAL') ORDER BY log_ts DESC LIMIT 1000""",
+ AND upper(severity) IN ('ERROR', 'CRITICAL')""",
 )
 def _(spark, sf):
     return tables.error_logs_between(
-        b.event_logs(spark, sf), datetime(2024, 1, 10), datetime(2024, 1, 20), newest=1000
+        b.event_logs(spark, sf), datetime(2024, 1, 10), datetime(2024, 1, 20)
     ).select(*IDS, micros("log_ts").alias("log_us"), "severity")
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from pipewatch.functions import text
 from pipewatch.operators.ranking import top_k_per_group
@@ -50,28 +50,30 @@ def run_log_signals(
     stacktrace: str = text.STACKTRACE_PATTERN,
     tie_break: Sequence[str] = ("task_id", "try_number"),
 ) -> DataFrame:
-    """One row per run: sums and rates over its first logs in time order.
+    """One row per run: sums and rates over all its logs, and the tails of the newest ones.
 
-    Blank logs use up places among the first ones; runs with blank logs only give no
-    row. A run contributes at most ``max_logs_per_run`` short rows to any task.
+    Runs with blank logs only give no row. Sums are made on the map side first and only the
+    newest few tails of a run are shuffled, however many logs it has.
     """
-    mined = mined_logs(logs, errors, keywords, stacktrace, cfg.tail_lines)
-    order = [F.col("log_ts").asc_nulls_first(), *tie_break]
-    first = top_k_per_group(mined, RUN_KEYS, order, cfg.max_logs_per_run).where("NOT is_blank")
-    newest = Window.partitionBy(*RUN_KEYS).orderBy(F.col("rn").desc())
-    ranked = first.withColumn("_back", F.row_number().over(newest))
+    mined = mined_logs(logs, errors, keywords, stacktrace, cfg.tail_lines).where("NOT is_blank")
+    order = [F.col("log_ts").desc_nulls_last(), *[F.col(c).desc_nulls_last() for c in tie_break]]
     names = [f"error_cat_{k}" for k in errors] + [f"kw_{k}" for k in keywords]
-    tails = [
-        F.max(F.when(F.col("_back") == i, F.col("tail")))
-        for i in range(cfg.tails_kept, 0, -1)
-    ]
-    parsed = F.count(F.lit(1))
-    agg = ranked.groupBy(*RUN_KEYS).agg(
-        parsed.alias("log_objects_parsed"),
+    sums = mined.groupBy(*RUN_KEYS).agg(
+        F.count(F.lit(1)).alias("log_objects_parsed"),
         F.sum("stacktrace_seen").alias("stacktrace_seen_count"),
-        F.concat_ws(TAIL_SEPARATOR, *tails).alias("last_n_lines_summary"),
         *[F.sum(n).alias(n) for n in names],
     )
+    newest = top_k_per_group(mined, RUN_KEYS, order, cfg.tails_kept, "_back")
+    tails = [f"_tail_{i}" for i in range(cfg.tails_kept, 0, -1)]
+    found = newest.groupBy(*RUN_KEYS).agg(
+        *[F.max(F.when(F.col("_back") == i, F.col("tail"))).alias(f"_tail_{i}") for i in range(cfg.tails_kept, 0, -1)]
+    )
+    # Put together by grouping, in which NULL keys are a run of their own.
+    agg = sums.unionByName(found, allowMissingColumns=True).groupBy(*RUN_KEYS).agg(
+        *[F.max(c).alias(c) for c in ("log_objects_parsed", "stacktrace_seen_count")],
+        F.concat_ws(TAIL_SEPARATOR, *[F.max(t) for t in tails]).alias("last_n_lines_summary"),
+        *[F.max(n).alias(n) for n in names],
+    )
     n = F.col("log_objects_parsed")
     return agg.select(
         *RUN_KEYS,

@@ -24,7 +24,7 @@ def duplicate_summary(df: DataFrame, keys: Sequence[str] = ("dag_id", "run_id"))
     )
 
 
-def null_rates(df: DataFrame, top: int | None = 10) -> DataFrame:
+def null_rates(df: DataFrame, top: int | None = None) -> DataFrame:
     """(column_name, null_rate), emptiest first; one pass over the data."""
     one = df.agg(
         F.count(F.lit(1)).alias("_rows"),

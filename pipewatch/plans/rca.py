@@ -236,11 +236,12 @@ def failed_run_summary(logs: DataFrame) -> DataFrame:
     """One row per (pipeline, run); NULL keys form groups of their own."""
     keys = ["dag_id", "run_id"]
     newest = latest_version(logs, keys, newest_first())
-    message = F.substring(F.coalesce("message", F.lit("")), 1, 300)
+    message = F.coalesce("message", F.lit(""))
     head = newest.select(
         *keys,
         scalars.timestamp_text("log_ts").alias("latest_log_ts"),
-        message.alias("latest_message"),
+        # Cut for display only; the category is taken from the whole text.
+        F.substring(message, 1, 300).alias("latest_message"),
         text.classify_error(
             F.concat_ws(" ", message, F.coalesce("full_block", F.lit("")))
         ).alias("error_category"),

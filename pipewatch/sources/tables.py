@@ -132,18 +132,11 @@ def logs_of_pipelines(
     logs: DataFrame,
     pipelines: DataFrame,
     per_pipeline: int | None = None,
-    total: int | None = None,
 ) -> DataFrame:
-    """All logs of the given pipelines; on request only the newest ones.
-
-    ``per_pipeline`` keeps the newest rows of each; ``total`` keeps that many rows in
-    (pipeline, newest first) order.
-    """
+    """All logs of the given pipelines; ``per_pipeline`` keeps only the newest rows of each."""
     out = related_rows(logs, pipelines, ["dag_id"])
     if per_pipeline is not None:
         out = top_k_per_group(out, ["dag_id"], newest_first(), per_pipeline, "_rn").drop("_rn")
-    if total is not None:
-        out = out.orderBy("dag_id", *newest_first()).limit(total)
     return out
 
 

@@ -172,17 +172,17 @@ def test_log_signals(spark):
         ("a", "1", "t", 1, ts[0], "ERROR", None, "Quota exceeded\nretrying", None),
         ("a", "1", "t", 1, ts[1], "ERROR", None, None, "  "),
         ("a", "1", "t", 1, ts[2], "ERROR", None, "m", "Traceback (most recent call last):\nauthor error 404"),
-        ("a", "1", "t", 1, ts[3], "ERROR", None, "over the cap: timeout", None),
+        ("a", "1", "t", 1, ts[3], "ERROR", None, "newest: timeout", None),
         ("a", "2", "t", 1, ts[4], "ERROR", None, " ", None),
         ("a", "1", "t", 1, None, "ERROR", None, "no time: killed", None),
     ]
     logs = spark.createDataFrame(rows, LOGS).withColumn("logical_date", F.lit(BASE))
-    got = run_log_signals(logs, LogSettings(max_logs_per_run=4, tail_lines=1)).collect()
+    got = run_log_signals(logs, LogSettings(tail_lines=1)).collect()
     assert len(got) == 1
     r = got[0]
-    # The log without a time comes first, the blank one takes a place, the last is cut off.
-    assert (r.log_objects_parsed, r.stacktrace_seen_count) == (3, 1)
+    # All logs count but the blank one; the log without a time is the oldest.
+    assert (r.log_objects_parsed, r.stacktrace_seen_count) == (4, 1)
     assert (r.error_cat_quota_rate_limit, r.error_cat_permission_auth, r.error_cat_other) == (1, 1, 2)
-    assert (r.kw_retrying, r.kw_killed, r.error_cat_timeout, r.error_cat_not_found) == (1, 1, 0, 1)
-    assert r.error_cat_other_rate == pytest.approx(2 / 3)
-    assert r.last_n_lines_summary == "no time: killed\n\n---\n\nretrying\n\n---\n\nauthor error 404"
+    assert (r.kw_retrying, r.kw_killed, r.error_cat_timeout, r.error_cat_not_found) == (1, 1, 1, 1)
+    assert r.error_cat_other_rate == pytest.approx(2 / 4)
+    assert r.last_n_lines_summary == "retrying\n\n---\n\nauthor error 404\n\n---\n\nnewest: timeout"
