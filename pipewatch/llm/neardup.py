@@ -6,11 +6,12 @@ compared in batches of signature values: after each batch a pair goes once the p
 that its similarity reaches the threshold is below ``MISS``. Survivors are verified on full sets.
 
 No pair list of a group is ever written out. In a first round each bucket offers only a spanning
-forest of its surviving pairs, the most similar first; what that links is contracted. In a second
-round the buckets that still hold several components offer their surviving pairs between different
-components that are not tested yet. After that, every pair that shares a band and survives the
-signature test has been verified or lies inside one component. Buckets above ``BLOCK`` nodes are
-dealt out in pairs of blocks, so no task holds a whole one.
+forest of its surviving pairs, the most similar first; these are verified, and what they link is
+contracted. In a second round the nodes of buckets that still hold several components bring their
+full sets along; there a task verifies the surviving pairs between different components itself, the
+most similar first, and gives only the links that join two components. After that, every pair that
+shares a band and survives the signature test has been verified or lies inside one component.
+Large buckets are dealt out in pairs of blocks, so no task holds a whole one.
 
 Defined results: NULL and empty texts have no shingles and link with nothing; a NULL id counts
 only where all ids of a component are NULL; rows that repeat an id and a text are in one component,
@@ -38,8 +39,9 @@ WORDS = 5
 BANDS, ROWS = 24, 5
 SIZE = BANDS * ROWS
 BATCH = 24
-# Nodes of a bucket that one task compares with one another.
+# Nodes of a bucket that one task compares with one another, by signatures and by full sets.
 BLOCK = 2048
+SET_BLOCK = 512
 # A pair is pruned when the chance that it reaches the threshold is below this.
 MISS = 1e-4
 # Words whose hashes a worker remembers; shingles hashed at a time; pairs compared at a time.
@@ -169,14 +171,28 @@ class _Forest:
         return a != b
 
 
-def candidate_pairs(groups: DataFrame, percent: int, forest: bool) -> DataFrame:
-    """Surviving pairs (``a`` < ``b``) of each group of ``groups``.
+def similar(x: bytes, y: bytes, percent: int) -> bool:
+    """Whether two sorted shingle sets share at least ``percent`` hundredths of their union."""
+    a, b = sorted((np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)), key=len)
+    if 100 * len(a) < percent * len(b):
+        return False
+    at = np.minimum(np.searchsorted(b, a), len(b) - 1)
+    both = int((b[at] == a).sum())
+    return 100 * both >= percent * (len(a) + len(b) - both)
+
+
+def candidate_pairs(groups: DataFrame, percent: int) -> DataFrame:
+    """A spanning forest (``a`` < ``b``) of the surviving pairs of each group of ``groups``.
 
     Columns: ``bucket, one, two`` (the group: a pair of blocks), ``block``, ``band``, ``node``,
-    ``root``, ``signature``. Pairs within a root are left out, a pair that shares several bands
-    counts in the first of them, and with ``forest`` a group gives a spanning forest of its pairs.
+    ``root``, ``signature``; with ``shingles`` beside them, only pairs that the full sets verify
+    enter the forest. Roots are the trees to begin with. A pair that shares several bands counts
+    in the first of them.
     """
     least = least_matches(percent)
+    columns = ["bucket", "one", "two", "block", "band", "node", "root", "signature"]
+    verify = "shingles" in groups.columns
+    columns += ["shingles"] if verify else []
 
     def pairs_of(table: pa.Table) -> pa.RecordBatch:
         column = {n: table[n].to_numpy() for n in ("bucket", "one", "two", "block", "band", "node", "root")}
@@ -210,14 +226,17 @@ def candidate_pairs(groups: DataFrame, percent: int, forest: bool) -> DataFrame:
                 held = 0
         settle()
         p, q, matches = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, int),) * 3
-        if forest:
-            joined, current, keep = _Forest(), -1, []
-            for i in np.lexsort((-matches, group[p])).tolist():
-                if group[p[i]] != current:
-                    joined, current = _Forest(), group[p[i]]
-                if joined.join(int(p[i]), int(q[i])):
-                    keep.append(i)
-            p, q = p[keep], q[keep]
+        sets = table["shingles"].to_pylist() if verify else []
+        joined, current, keep = _Forest(), -1, []
+        for i in np.lexsort((-matches, group[p])).tolist():
+            one, two = int(p[i]), int(q[i])
+            if group[one] != current:
+                joined, current = _Forest(), group[one]
+            ends = joined.root(int(column["root"][one])), joined.root(int(column["root"][two]))
+            if ends[0] != ends[1] and (not verify or similar(sets[one], sets[two], percent)):
+                joined.join(*ends)
+                keep.append(i)
+        p, q = p[keep], q[keep]
         a, b = column["node"][p], column["node"][q]
         return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
 
@@ -240,12 +259,12 @@ def candidate_pairs(groups: DataFrame, percent: int, forest: bool) -> DataFrame:
             yield pairs_of(held)
 
     ordered = groups.repartition("bucket", "one", "two").sortWithinPartitions("bucket", "one", "two")
-    return ordered.select("bucket", "one", "two", "block", "band", "node", "root", "signature").mapInArrow(search, "a bigint, b bigint")
+    return ordered.select(*columns).mapInArrow(search, "a bigint, b bigint")
 
 
-def _blocks(members: DataFrame) -> DataFrame:
+def _blocks(members: DataFrame, size: int) -> DataFrame:
     """One row per member and pair of blocks of its bucket (columns ``bucket, n, node``): ``one`` <= ``two``."""
-    count = F.ceil(F.col("n") / BLOCK).cast("int")
+    count = F.ceil(F.col("n") / size).cast("int")
     own = F.when(count > 1, F.pmod(F.xxhash64("node", F.lit("block")), count)).otherwise(0).cast("int")
     dealt = members.withColumn("block", own).withColumn("other", F.explode(F.sequence(F.lit(0), count - 1)))
     return dealt.withColumn("one", F.least("block", "other")).withColumn("two", F.greatest("block", "other"))
@@ -278,23 +297,21 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, text: str = "text") -> Data
     return texts.mapInArrow(shingle, "set_id binary, shingles binary")
 
 
-def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, percent: int, text: str) -> DataFrame:
-    """The pairs whose full sets reach the threshold. ``nodes`` has ``node``, ``set_id``, ``text_hash``."""
-    used = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    used = durable(nodes.select("node", "set_id", "text_hash").join(used, "node"))
+def sets_of(used: DataFrame, nodes: DataFrame, docs: DataFrame, text: str) -> DataFrame:
+    """``node``, ``shingles`` of the nodes in ``used``. ``nodes`` has ``node``, ``set_id``, ``text_hash``."""
+    used = durable(nodes.select("node", "set_id", "text_hash").join(used.distinct(), "node"))
     sets = shingle_sets(docs, used.select("text_hash"), text).dropDuplicates(["set_id"])
-    sets = written(used.join(sets, "set_id").select("node", "shingles"), "shingle-sets")
+    return written(used.join(sets, "set_id").select("node", "shingles"), "shingle-sets")
+
+
+def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, percent: int, text: str) -> DataFrame:
+    """The pairs whose full sets reach the threshold."""
+    sets = sets_of(pairs.select(F.explode(F.array("a", "b")).alias("node")), nodes, docs, text)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            good = []
-            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                x, y = (x, y) if len(x) <= len(y) else (y, x)
-                at = np.minimum(np.searchsorted(y, x), len(y) - 1)
-                both = int((y[at] == x).sum())
-                good.append(100 * both >= percent * (len(x) + len(y) - both))
-            mask = pa.array(good, pa.bool_())
+            mask = [similar(x, y, percent) for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
+            mask = pa.array(mask, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(mask), batch.column(1).filter(mask)], ["a", "b"])
 
     of = lambda end: sets.select(F.col("node").alias(end), F.col("shingles").alias(f"of_{end}"))
@@ -331,8 +348,8 @@ def _decisions(docs: DataFrame, percent: int, key: str, text: str) -> DataFrame:
     members = written(placed.join(crowds, "bucket"), "bucket-members")
     marks = nodes.select("node", "signature")
 
-    first = _blocks(members).join(marks, "node").withColumn("root", F.col("node"))
-    tried = written(candidate_pairs(first, percent, forest=True).distinct(), "first-pairs")
+    first = _blocks(members, BLOCK).join(marks, "node").withColumn("root", F.col("node"))
+    tried = written(candidate_pairs(first, percent).distinct(), "first-pairs")
     links = durable(verified(tried, nodes, docs, percent, text))
     roots = connected(links)
 
@@ -340,9 +357,9 @@ def _decisions(docs: DataFrame, percent: int, key: str, text: str) -> DataFrame:
     labelled = written(labelled, "labelled-members")
     mixed = labelled.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
     again = labelled.join(durable(mixed.select("bucket")), "bucket")
-    second = _blocks(again).join(marks, "node")
-    fresh = candidate_pairs(second, percent, forest=False).distinct().join(tried, ["a", "b"], "left_anti")
-    more = durable(verified(written(fresh, "second-pairs"), nodes, docs, percent, text))
+    sets = sets_of(again.select("node"), nodes, docs, text)
+    second = _blocks(again, SET_BLOCK).join(marks.join(sets, "node"), "node")
+    more = durable(candidate_pairs(second, percent).distinct())
     if more.head(1):
         roots = connected(links.unionByName(more))
 

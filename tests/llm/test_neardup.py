@@ -64,6 +64,7 @@ def test_equals_all_pairs(spark, percent):
 def test_cloud_around_the_threshold(spark, monkeypatch, block):
     """A large group of near copies, many of whose pairs are just above or below the threshold."""
     monkeypatch.setattr(neardup, "BLOCK", block)
+    monkeypatch.setattr(neardup, "SET_BLOCK", block)
     rng = random.Random(5)
     base = [f"w{rng.randrange(10**6)}" for _ in range(120)]
     rows = []
