@@ -22,6 +22,10 @@ from pipewatch.session import durable
 from pipewatch.settings import MINUTE
 
 
+# Buckets whose totals are summed up together where there is no key: a day of minutes.
+BUCKET_GROUP = 1440
+
+
 def micros(column: Column | str) -> Column:
     """Microseconds since the epoch; session time zone UTC for NTZ columns."""
     c = F.col(column) if isinstance(column, str) else column
@@ -89,24 +93,40 @@ def strict_prefix_sums(
     ).where("_target = 1")
 
     # Both branches read the same columns of ``instants``, so its shuffle is reused.
-    across = _over_buckets(keys)
-    carried = (
-        instants.groupBy(*keys, "_bucket")
-        .agg(*_exprs([*[f"sum({v}) AS {v}" for v in sums], "max(_target) AS _target"]))
-        .selectExpr(
-            *keys,
-            "_bucket",
-            "_target",
-            *[f"sum({v}) OVER ({across}) AS _c_{v}" for v in sums],
-        )
-        .where("_target = 1")
-        .drop("_target")
+    totals = instants.groupBy(*keys, "_bucket").agg(
+        *_exprs([*[f"sum({v}) AS {v}" for v in sums], "max(_target) AS _target"])
     )
+    if keys:
+        carried = totals.selectExpr(
+            *keys, "_bucket", "_target", *[f"sum({v}) OVER ({_over_buckets(keys)}) AS _c_{v}" for v in sums]
+        )
+    else:
+        carried = _carried_by_groups(totals, sums)
+    carried = carried.where("_target = 1").drop("_target")
     return local.join(carried, [*keys, "_bucket"], "left").selectExpr(
         *keys, "at", *[f"coalesce({v}, 0) + coalesce(_c_{v}, 0) AS {v}" for v in sums]
     )
 
 
+def _carried_by_groups(totals: DataFrame, sums: Sequence[str]) -> DataFrame:
+    """Sums of all earlier buckets without a key: inside groups of buckets, then over the groups.
+
+    Without a key one window would hold all buckets of history; here it holds one row per group.
+    """
+    grouped = totals.selectExpr("*", f"_bucket div {BUCKET_GROUP} AS _group")
+    inside = "PARTITION BY _group ORDER BY _bucket ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+    before = "ORDER BY _group ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+    groups = (
+        grouped.groupBy("_group")
+        .agg(*_exprs([f"sum({v}) AS {v}" for v in sums]))
+        .selectExpr("_group", *[f"sum({v}) OVER ({before}) AS _g_{v}" for v in sums])
+    )
+    local = grouped.selectExpr("_group", "_bucket", "_target", *[f"sum({v}) OVER ({inside}) AS {v}" for v in sums])
+    return local.join(groups, "_group").selectExpr(
+        "_bucket", "_target", *[f"coalesce({v}, _g_{v}) + IF({v} IS NULL, 0, coalesce(_g_{v}, 0)) AS _c_{v}" for v in sums]
+    )
+
+
 def span_deltas(
     spans: DataFrame,
     keys: Sequence[str],
