@@ -154,14 +154,13 @@ def event_logs(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def order_logs(spark: SparkSession, sf: str) -> DataFrame:
-    """One log per returned line item, with one of the fixed texts."""
+    """One log per line item, with one of the fixed texts."""
     o = table(spark, sf, "orders").select(
         F.col("o_orderkey").alias("l_orderkey"), "o_custkey", micros("o_orderdate").alias("_o")
     )
     message = _pick(MESSAGES, F.col("l_partkey") % 12)
     return (
         table(spark, sf, "lineitem")
-        .where("l_returnflag = 'R'")
         .join(o, ["l_orderkey"])
         .select(
             (F.col("o_custkey") % 50).cast("string").alias("dag_id"),
@@ -187,11 +186,17 @@ DOC_ERRORS = {
 }
 DOC_KEYWORDS = {"retrying": (r"[0-9]{3}",), "killed": (r"[!?.]$",)}
 DOC_STACKTRACE = r"Copyright|License"
+# Added to the ids of blank logs; a multiple of 34.
+BLANK_LOGS = 3_400_000_000
 
 
 def document_logs(spark: SparkSession, sf: str) -> DataFrame:
-    d = table(spark, sf, "documents")
-    i = F.col("doc_id")
+    """One log per document, and a blank one beside every seventeenth."""
+    d = table(spark, sf, "documents").select("doc_id", "source", "lang", "text")
+    blank = d.where("doc_id % 17 = 0").select(
+        (F.col("doc_id") + BLANK_LOGS).alias("doc_id"), "source", "lang", F.lit("  ").alias("text")
+    )
+    d, i = d.unionByName(blank), F.col("doc_id")
     return d.select(
         F.col("source").alias("dag_id"),
         F.col("lang").alias("run_id"),
@@ -200,7 +205,7 @@ def document_logs(spark: SparkSession, sf: str) -> DataFrame:
         F.lit(1).alias("try_number"),
         _ts(F.lit(1704067200000000) + i * F.lit(1_000_000)).alias("log_ts"),
         F.when(i % 34 != 0, "Timeout, retrying after 429").alias("message"),
-        F.when(i % 17 == 0, "  ").otherwise(F.col("text")).alias("full_block"),
+        F.col("text").alias("full_block"),
     )
 
 

@@ -71,13 +71,16 @@ ORDER_LOGS = f"""order_logs AS (
  SELECT CAST(o_custkey % 50 AS VARCHAR) AS dag_id, CAST(l_orderkey AS VARCHAR) AS run_id,
   epoch_us(o_orderdate) + l_partkey * 1000000 AS log_at,
   {pick(b.MESSAGES, 'l_partkey % 12')} AS message
- FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_returnflag = 'R')"""
+ FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
 
-DOC_LOGS = """doc_logs AS (
+DOC_LOGS = f"""doc_rows AS (
+ SELECT doc_id, source, lang, "text" AS full_block FROM documents UNION ALL
+ SELECT doc_id + {b.BLANK_LOGS}, source, lang, '  ' FROM documents WHERE doc_id % 17 = 0),
+doc_logs AS (
  SELECT doc_id, source AS dag_id, lang AS run_id,
   CASE WHEN doc_id % 34 <> 0 THEN 'Timeout, retrying after 429' END AS message,
-  CASE WHEN doc_id % 17 = 0 THEN '  ' ELSE "text" END AS full_block
- FROM documents),
+  full_block
+ FROM doc_rows),
 doc_body AS (
  SELECT doc_id, dag_id, run_id,
   CASE WHEN regexp_matches(full_block, '\\S') THEN full_block ELSE coalesce(message, '') END AS body
