@@ -2,13 +2,14 @@
 
 Base spans are e-mail addresses, IP addresses, card and phone numbers. Every distinct value is a
 protected entity. The corpus tells how strongly a term reveals it: with document counts, the
-pointwise mutual information of entity and term near it over the information content of the entity,
+pointwise mutual information of entity and term over the information content of the entity,
 
     ratio = log(n_et * N / (n_e * n_t)) / log(N / n_e),
 
-is 1 when the term is found with the entity only, and 0 when it tells nothing. Terms that stand by
-an entity in two documents or more are generalised from ``GENERALISE`` on and removed from
-``REMOVE`` on. Counts are taken over all documents; only documents with entities are joined.
+is 1 when the term is found with the entity only, and 0 when it tells nothing. Terms that share
+two documents or more with an entity, wherever they stand in them, are generalised from
+``GENERALISE`` on and removed from ``REMOVE`` on: every occurrence in every document, with the
+entity or without. A term is a word outside all base spans. Counts are taken over all documents.
 
 Spans count code points, the end exclusive. A regular expression gives the matches, a split by it
 the lengths between them. The patterns below find what the plain ones in ``PLAIN`` find; look-behind
@@ -22,7 +23,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pipewatch.llm.common import whole_text, written
-from pipewatch.session import durable
 
 #: The patterns as they are meant, matched leftmost and without overlap.
 PLAIN = {
@@ -43,8 +43,6 @@ BYTE = "0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 LABELS = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]"}
 
 TERM = r"\p{L}{3,}+"
-# Code points on either side of an entity in which terms count as near it.
-NEAR = 64
 TOGETHER = 2
 GENERALISE, REMOVE = 0.9, 0.97
 GENERALISED = "[TERM]"
@@ -53,7 +51,7 @@ _PLACES = "array<struct<value:string,start:bigint,end:bigint>>"
 _SPANS = "array<struct<kind:string,value:string,start:bigint,end:bigint>>"
 
 
-def located(text: Column, pattern: str) -> Column:
+def located(text: Column, pattern: str | Column) -> Column:
     """All matches of a pattern as ``value, start, end``."""
     none = F.array().cast(_PLACES)
 
@@ -115,58 +113,74 @@ def _count(kind: str) -> Column:
     return F.size(F.filter("_spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
 
 
-def near_terms(text: Column, spans: Column) -> Column:
-    """``entity, term, start, end``: terms near each span that lie in no span, whole terms only."""
+def masked(text: Column, spans: Column) -> Column:
+    """``text`` with a digit for each character of a span, so that places stay and no term reaches into one."""
+    begin = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<string>").alias("out"))
 
-    def beside(span: Column, left: bool) -> Column:
-        at = F.greatest(span["start"] - NEAR, F.lit(0)) if left else span["end"]
-        window = F.substring(text, (at + 1).cast("int"), (span["start"] - at if left else F.lit(NEAR)).cast("int"))
-        # A term at the outer edge of a window that was cut may be a part of one.
-        inside = (lambda t: (t["start"] > 0) | (at == 0)) if left else (lambda t: (t["end"] < NEAR) | (span["end"] + NEAR >= F.length(text)))
-        free = lambda t: ~F.exists(spans, lambda o: (o["start"] < at + t["end"]) & (o["end"] > at + t["start"]))
-        kept = F.filter(located(window, TERM), lambda t: inside(t) & free(t))
-        return F.transform(
-            kept,
-            lambda t: F.struct(
-                F.lower(span["value"]).alias("entity"), F.lower(t["value"]).alias("term"), (at + t["start"]).alias("start"), (at + t["end"]).alias("end")
-            ),
-        )
+    def step(state: Column, span: Column) -> Column:
+        between = F.substring(text, (state["at"] + 1).cast("int"), F.greatest(span["start"] - state["at"], F.lit(0)).cast("int"))
+        hidden = F.repeat(F.lit("0"), F.greatest(span["end"] - F.greatest(state["at"], span["start"]), F.lit(0)).cast("int"))
+        return F.struct(F.greatest(state["at"], span["end"]).alias("at"), F.concat(state["out"], F.array(between, hidden)).alias("out"))
 
-    return F.array_distinct(F.flatten(F.transform(spans, lambda s: F.concat(beside(s, True), beside(s, False)))))
+    def end(state: Column) -> Column:
+        return F.concat(F.array_join(state["out"], ""), F.substring(text, (state["at"] + 1).cast("int"), F.length(text)))
+
+    places = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))))
+    return F.when(F.size(spans) > 0, F.aggregate(places, begin, step, end)).otherwise(text)
 
 
 def with_spans(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` plus ``_spans`` and ``_near``."""
+    """``docs`` plus ``_row``, ``_spans`` and ``_words``, the distinct terms outside all spans as they are written; a table."""
     body = whole_text(text)
-    spanned = docs.withColumn("_spans", base_spans(body))
-    none = F.array().cast("array<struct<entity:string,term:string,start:bigint,end:bigint>>")
-    return spanned.withColumn("_near", F.when(F.size("_spans") > 0, near_terms(body, F.col("_spans"))).otherwise(none))
+    spanned = docs.withColumn("_row", F.monotonically_increasing_id()).withColumn("_spans", base_spans(body))
+    words = F.array_distinct(F.regexp_extract_all(masked(body, F.col("_spans")), F.lit(TERM), F.lit(0)))
+    return written(spanned.withColumn("_words", words), "personal-data")
+
 
+def _terms_of(marked: DataFrame, *columns: str) -> DataFrame:
+    return marked.select(*columns, F.explode(F.array_distinct(F.transform("_words", F.lower))).alias("term"))
 
-def disclosures(marked: DataFrame, docs: DataFrame, text: str = "text") -> DataFrame:
-    """``entity, term, ratio`` of the terms that reveal an entity; ``marked`` has ``_spans`` and ``_near``.
 
-    Entities and terms are made distinct inside each document, and counted on the map side first.
+def disclosures(marked: DataFrame) -> DataFrame:
+    """``term, ratio`` of the terms that reveal an entity of the same document, by the entity they reveal most.
+
+    A ratio from ``GENERALISE`` on needs ``n_t <= n_e ** GENERALISE * N ** (1 - GENERALISE)``, as ``n_et`` is
+    ``n_e`` at most, so commoner terms are left before they are paired. Documents with the same entities
+    and terms are added up first.
     """
-    total = docs.count()
-    entities = marked.select(F.explode(F.array_distinct(F.transform("_spans", lambda s: F.lower(s["value"])))).alias("entity"))
-    entities = entities.groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
-    pairs = marked.select(F.explode(F.array_distinct(F.transform("_near", lambda t: F.struct(t["entity"].alias("entity"), t["term"].alias("term"))))).alias("p"))
-    pairs = pairs.groupBy("p.entity", "p.term").agg(F.count(F.lit(1)).alias("n_et")).where(F.col("n_et") >= TOGETHER)
-    pairs = durable(pairs)
-    words = F.array_distinct(F.regexp_extract_all(F.lower(whole_text(text)), F.lit(TERM), F.lit(0)))
-    terms = docs.select(F.explode(words).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
-    ratio = F.log(F.col("n_et") * F.lit(float(total)) / (F.col("n_e") * F.col("n_t"))) / F.log(F.lit(float(total)) / F.col("n_e"))
-    joined = pairs.join(terms, "term").join(entities, "entity").select("entity", "term", ratio.alias("ratio"))
-    return durable(joined.where(F.col("ratio") >= GENERALISE))
-
-
-def added_spans(marked: DataFrame, revealing: DataFrame, row: str) -> DataFrame:
-    """``row``, ``_added``: the spans of revealing terms of each row that has some, by start."""
-    near = marked.select(row, F.explode("_near").alias("t")).select(row, "t.*")
-    found = near.join(revealing, ["entity", "term"])
-    best = found.groupBy(row, "start", "end").agg(F.max("ratio").alias("ratio"))
-    return best.groupBy(row).agg(F.sort_array(F.collect_list(F.struct("start", "end", "ratio"))).alias("_added"))
+    total = float(marked.count())
+    some = marked.where(F.size("_spans") > 0)
+    own = some.select("_row", F.explode(F.array_distinct(F.transform("_spans", lambda s: F.lower(s["value"])))).alias("entity"))
+    entities = own.groupBy("entity").agg(F.count(F.lit(1)).alias("n_e")).where(F.col("n_e") >= TOGETHER)
+    entities = written(entities, "personal-entities")
+
+    def most(n_e: Column) -> Column:
+        # The margin is for rounding only; the ratio itself decides.
+        return F.pow(n_e, F.lit(GENERALISE)) * F.lit(total ** (1 - GENERALISE) * (1 + 1e-9))
+
+    limit = entities.agg(F.coalesce(most(F.max("n_e")), F.lit(0.0))).first()[0]
+    terms = _terms_of(marked).groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
+    terms = written(terms.where(F.col("n_t").between(TOGETHER, limit)), "personal-terms")
+    named = own.join(entities, "entity").groupBy("_row").agg(F.sort_array(F.collect_list(F.struct("entity", "n_e"))).alias("_entities"))
+    said = _terms_of(some, "_row").join(terms, "term").groupBy("_row").agg(F.sort_array(F.collect_list(F.struct("term", "n_t"))).alias("_terms"))
+    alike = named.join(said, "_row").groupBy("_entities", "_terms").agg(F.count(F.lit(1)).alias("n"))
+    pairs = alike.select("n", "_terms", F.explode("_entities").alias("e"))
+    pairs = pairs.select("n", "e", F.explode(F.filter("_terms", lambda t: t["n_t"] <= most(F.col("e.n_e")))).alias("t"))
+    pairs = pairs.groupBy("e.entity", "e.n_e", "t.term", "t.n_t").agg(F.sum("n").alias("n_et")).where(F.col("n_et") >= TOGETHER)
+    ratio = F.log(F.col("n_et") * F.lit(total) / (F.col("n_e") * F.col("n_t"))) / F.log(F.lit(total) / F.col("n_e"))
+    found = pairs.select("term", ratio.alias("ratio")).where(F.col("ratio") >= GENERALISE)
+    return written(found.groupBy("term").agg(F.max("ratio").alias("ratio")), "personal-disclosures")
+
+
+def with_added(marked: DataFrame, text: str = "text") -> DataFrame:
+    """``marked`` plus ``_added``: ``start, end, ratio`` of every revealing term in every document, by start (NULL: none)."""
+    words = marked.select("_row", F.explode("_words").alias("word")).withColumn("term", F.lower("word"))
+    hits = words.join(disclosures(marked), "term").groupBy("_row").agg(F.map_from_entries(F.collect_list(F.struct("word", "ratio"))).alias("_hits"))
+    body = masked(whole_text(text), F.col("_spans"))
+    # The letter beyond 16 bits makes Java look behind by code points.
+    pattern = F.concat(F.lit("(?<![\\p{L}\U00010000])(?:"), F.array_join(F.map_keys("_hits"), "|"), F.lit(")(?!\\p{L})"))
+    places = F.transform(located(body, pattern), lambda t: F.struct(t["start"].alias("start"), t["end"].alias("end"), F.col("_hits")[t["value"]].alias("ratio")))
+    return marked.join(hits, "_row", "left").withColumn("_added", F.when(F.col("_hits").isNotNull(), places)).drop("_hits")
 
 
 def spans_text(spans: Column) -> Column:
@@ -175,15 +189,11 @@ def spans_text(spans: Column) -> Column:
 
 def find_personal_data(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: key, counts by kind, ``base_sha256``, ``spans`` and ``n_terms``."""
-    narrow = docs.select(F.col(key), F.col(text).alias("_text"))
-    marked = with_spans(narrow, "_text").withColumn("_row", F.monotonically_increasing_id()).drop("_text")
-    marked = written(marked, "personal-data")
-    some = marked.where(F.size("_spans") > 0)
-    added = durable(added_spans(some, disclosures(some, narrow, "_text"), "_row"))
+    marked = with_added(with_spans(docs.select(F.col(key), F.col(text).alias("_text")), "_text"), "_text")
     terms = F.transform("_added", lambda t: F.struct(F.lit("term").alias("kind"), t["start"].alias("start"), t["end"].alias("end")))
     base = spans_text(F.col("_spans"))
     every = F.array_join(F.filter(F.array(base, spans_text(terms)), lambda s: s != ""), ",")
-    return marked.join(added, "_row", "left").select(
+    return marked.select(
         key, *map(_count, PATTERNS), F.sha2(base, 256).alias("base_sha256"), every.alias("spans"), F.coalesce(F.size("_added"), F.lit(0)).alias("n_terms")
     ).withColumn("n_terms", F.greatest("n_terms", F.lit(0)))
 
@@ -205,21 +215,14 @@ def _replaced(text: Column, spans: Column) -> Column:
 
 
 def sanitise(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with every base span replaced by its label, and revealing terms generalised or removed.
-
-    Texts without a base span pass as they are; only the others are written, joined and rebuilt.
-    """
-    names = [f"`{c}`" for c in docs.columns]
-    marked = with_spans(docs, text)
-    clean = marked.where(F.size("_spans") == 0).select(*names)
-    some = written(marked.where(F.size("_spans") > 0).withColumn("_row", F.monotonically_increasing_id()), "personal-texts")
-    added = durable(added_spans(some, disclosures(some, docs, text), "_row"))
+    """``docs`` with every base span replaced by its label, and revealing terms generalised or removed in every text."""
+    marked = with_added(with_spans(docs, text), text)
     label = F.create_map(*[x for k, v in LABELS.items() for x in (F.lit(k), F.lit(v))])
     base = F.transform("_spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), label[s["kind"]].alias("label")))
     term = F.transform(
         F.coalesce("_added", F.array().cast("array<struct<start:bigint,end:bigint,ratio:double>>")),
         lambda t: F.struct(t["start"].alias("start"), t["end"].alias("end"), F.when(t["ratio"] >= REMOVE, "").otherwise(GENERALISED).alias("label")),
     )
-    new = _replaced(F.col(text), F.array_sort(F.concat(base, term)))
-    rebuilt = some.join(added, "_row", "left").withColumn("_new", new)
-    return clean.unionByName(rebuilt.select(*[F.col("_new").alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns]))
+    new = F.when((F.size("_spans") > 0) | F.col("_added").isNotNull(), _replaced(F.col(text), F.array_sort(F.concat(base, term)))).otherwise(F.col(text))
+    rebuilt = marked.withColumn("_new", new)
+    return rebuilt.select(*[F.col("_new").alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns])

@@ -83,3 +83,21 @@ def test_sanitise_keeps_nulls_columns_and_the_rest(spark):
     out = {r.doc_id: r.text for r in got.collect()}
     assert out[0] is None and out[1] == "" and out[8] == "é" * 10 + "[EMAIL]" + "ü" * 10 + "[PHONE]"
     assert out[3] == "[IP].[IP] 256.1.1.1 [IP] 1.2.3 999999999999.1.1.1 [IP]."
+
+
+def test_revealing_terms_far_away_and_without_the_entity(spark):
+    far = "the king is here " * 20
+    texts = [
+        f"Zorblax, {far} joe@x.com", f"{far} joe@x.com {far} zorblax {far} ZORBLAX", "of Zorblax alone",
+        # A part of a longer word is another term, in letters beyond 16 bits too.
+        "zorblaxes \U00010400zorblax zorblax\U00010400 xzorblax", *[f"{far} other words"] * 196,
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    # Of 200 documents two have the entity and three the term, two of them the entity also.
+    assert pii.GENERALISE <= math.log(2 * 200 / (2 * 3)) / math.log(200 / 2) < pii.REMOVE
+    rows = {r.doc_id: r for r in pii.find_personal_data(docs).collect()}
+    assert [rows[i].n_terms for i in range(5)] == [1, 2, 1, 0, 0]
+    assert rows[2].spans == "term:3:10"
+    clean = {r.doc_id: r.text for r in pii.sanitise(docs).collect()}
+    assert clean[0] == f"[TERM], {far} [EMAIL]" and clean[1] == f"{far} [EMAIL] {far} [TERM] {far} [TERM]"
+    assert clean[2] == "of [TERM] alone" and all(clean[i] == texts[i] for i in range(3, 200))
