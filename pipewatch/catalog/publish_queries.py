@@ -10,7 +10,7 @@ from pipewatch.catalog import bindings as b
 from pipewatch.catalog import bindings_sql as s
 from pipewatch.functions import scalars
 from pipewatch.operators.ranking import latest_version, with_group_index
-from pipewatch.plans import publish
+from pipewatch.plans import publish, report
 from pipewatch.settings import PublishSettings
 
 QUERIES, ORACLES = {}, {}
@@ -209,6 +209,25 @@ def _(spark, sf):
     return publish.table_hash(_numbered(spark, sf), COLUMNS)
 
 
+NOTABLE = ["dag_id", "run_id", "risk_bucket"]
+
+
+@add(
+    "notable_risk_hash",
+    f"""WITH {s.SCORED}, r AS (SELECT 'outputs/grid_cv_predictions_' || strftime(day, '%Y%m%d') || '.csv' AS target, doc_id, dag_id, run_id,
+  CASE WHEN p >= 0.7 THEN 'High' WHEN p >= 0.4 THEN 'Med' ELSE 'Low' END AS risk_bucket FROM scored)
+SELECT target, sha256('dag_id,run_id,risk_bucket' || chr(10) || string_agg(dag_id || ',' || run_id || ',' || risk_bucket || chr(10), '' ORDER BY doc_id)) AS content_hash,
+ count(*) AS row_count FROM r WHERE risk_bucket <> 'Low' GROUP BY target""",
+)
+def _(spark, sf):
+    rows = report.with_risk(b.scored_rows(spark, sf)).select(
+        F.concat(F.lit("outputs/grid_cv_predictions_"), F.date_format("day", "yyyyMMdd"), F.lit(".csv")).alias("target"),
+        F.col("run_id").cast("bigint").alias("row_no"), *NOTABLE,
+    )
+    kept = with_group_index(publish.keep_notable_risk(rows), ["target"], ["row_no"])
+    return publish.table_hash(kept, NOTABLE).select("target", "content_hash", "row_count")
+
+
 _FOOT = (
     f"'<hr/><p><em>Source: <code>store/' || target || '</code><br/>Generated: {GENERATED}' || {{rows}} || '</em></p>'"
 )

@@ -10,6 +10,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pipewatch.ml import explain, fit, score
+from pipewatch.operators.ranking import with_group_index
 from pipewatch.plans import features, publish, rca, report
 from pipewatch.plans.logs import run_log_signals
 from pipewatch.session import durable
@@ -157,6 +158,27 @@ def failed_runs_job(
     return summary
 
 
+def _filtered_hash(spark: SparkSession, path: str, target: str, spec: publish.ArtefactSpec) -> DataFrame:
+    """(target, content_hash) of a CSV after its kind's filter; no rows left is a header, a missing file no row."""
+    nothing = spark.createDataFrame([], "target string, content_hash string")
+    try:
+        rows = artefacts.read_csv(spark, path)
+    except AnalysisException as exc:
+        if exc.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return nothing
+    columns = rows.columns
+    if not columns:
+        return artefacts.read_text(spark, path).select(F.lit(target).alias("target"), publish.text_hash("text").alias("content_hash"))
+    # A CSV is one file read in order.
+    kept = spec.row_filter(rows.withColumn("_row_no", F.monotonically_increasing_id()))
+    numbered = with_group_index(kept.withColumn("_target", F.lit(target)), ["_target"], ["_row_no"], "_row_no")
+    hashed = publish.table_hash(numbered, columns, "_target", "_row_no").select(F.col("_target").alias("target"), "content_hash")
+    header = F.sha2(F.lit(",".join(columns) + "\n"), 256)
+    one = spark.range(1).select(F.lit(target).alias("target"))
+    return one.join(hashed, ["target"], "left").select("target", F.coalesce("content_hash", header).alias("content_hash"))
+
+
 def publish_job(
     spark: SparkSession,
     root: str,
@@ -169,7 +191,8 @@ def publish_job(
     """Publish plan over the files under ``root``.
 
     The target date lies ``lookback_days`` before the run and discovery looks back as
-    many days again. Files of artefacts whose page exists are not read.
+    many days again. Files of artefacts whose page exists are not read. The content of a
+    kind with a row filter is what the filter leaves.
     """
     target = run_day - timedelta(days=cfg.publish.lookback_days)
     found = durable(
@@ -182,17 +205,18 @@ def publish_job(
         ["title", "dated"],
         "left_anti",
     )
-    # At most one path per kind and day of the lookback.
-    paths = [f"{root.rstrip('/')}/{r['target']}" for r in open_ones.select("target").collect()]
-    texts = None
-    for path in paths:
-        one = artefacts.try_read_text(spark, path)
-        texts = one if texts is None else texts.unionAll(one)
-    if texts is None:
-        texts = spark.createDataFrame([], "path string, text string")
+    specs = {s.path_template: s for s in registry}
     anchor = root.rstrip("/").rsplit("/", 1)[-1]
-    hashes = texts.select(
-        F.regexp_extract("path", rf"{anchor}/(.*)$", 1).alias("target"),
-        publish.text_hash("text").alias("content_hash"),
-    )
+    hashes = spark.createDataFrame([], "target string, content_hash string")
+    # At most one path per kind and day of the lookback.
+    for r in open_ones.select("target", "path_template").collect():
+        path, spec = f"{root.rstrip('/')}/{r['target']}", specs[r["path_template"]]
+        if spec.row_filter is not None and spec.render_kind == "csv":
+            one = _filtered_hash(spark, path, r["target"], spec)
+        else:
+            one = artefacts.try_read_text(spark, path).select(
+                F.regexp_extract("path", rf"{anchor}/(.*)$", 1).alias("target"),
+                publish.text_hash("text").alias("content_hash"),
+            )
+        hashes = hashes.unionAll(one)
     return publish.publish_plan(found, pages, hashes, state)

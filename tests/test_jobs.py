@@ -1,8 +1,11 @@
 """Train, predict, report, failed runs and publish, end to end on files."""
 
+import hashlib
 import random
 from datetime import date, datetime, timedelta
 
+from pyspark.sql import functions as F
+
 from pipewatch.plans import jobs
 from pipewatch.schemas import LOGS
 from pipewatch.settings import ModelSettings, Settings
@@ -99,3 +102,24 @@ def test_publish_job(spark, tmp_path):
     (root / "x.csv").write_text('a,b\n1,"two\nlines"\n')
     rows = artefacts.read_source(spark, "file", str(root / "x.csv"), "csv").collect()
     assert [tuple(r) for r in rows] == [("1", "two\nlines")]
+
+
+def test_publish_job_takes_notable_rows_only(spark, tmp_path):
+    target = "outputs/grid_cv_predictions_20240408.csv"
+    path = tmp_path / "store" / target
+    path.parent.mkdir(parents=True)
+    pages = spark.createDataFrame([], "title string")
+    state = spark.createDataFrame([], "state_key string, page_id string, content_hash string")
+
+    def content(text):
+        path.write_text(text)
+        plan = jobs.publish_job(spark, str(tmp_path / "store"), pages, state, DAY)
+        row = plan.where(F.col("target") == target).first()
+        return row.action, row.content_hash
+
+    head = "run_id,risk_bucket,note\n"
+    kept = 'r1,High,"a, b"\nr3,Med,\n'
+    want = ("publish", hashlib.sha256((head + kept).encode()).hexdigest())
+    assert content(head + 'r1,High,"a, b"\nr2,Low,x\nr3,Med,\n') == want
+    assert content(head + 'r0,Low,y\nr1,High,"a, b"\nr3,Med,\n') == want
+    assert content(head + "r0,Low,y\n") == ("publish", hashlib.sha256(head.encode()).hexdigest())
