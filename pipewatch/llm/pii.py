@@ -15,7 +15,8 @@ Spans count code points, the end exclusive. A regular expression gives the match
 the lengths between them. The patterns below find what the plain ones in ``PLAIN`` find; look-behind
 and possessive repetition only keep long runs of characters from being tried again and again, and
 the stack flat. Defined results: NULL text is empty in counts and stays NULL when sanitised; rows
-that repeat count as documents of their own; an empty table gives an empty one.
+that repeat count as documents of their own; nothing reveals an
+entity that is in every document; an empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -151,7 +152,9 @@ def disclosures(marked: DataFrame) -> DataFrame:
     total = float(marked.count())
     some = marked.where(F.size("_spans") > 0)
     own = some.select("_row", F.explode(F.array_distinct(F.transform("_spans", lambda s: F.lower(s["value"])))).alias("entity"))
-    entities = own.groupBy("entity").agg(F.count(F.lit(1)).alias("n_e")).where(F.col("n_e") >= TOGETHER)
+    entities = own.groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
+    # An entity of every document carries no information, and its ratio would be one of zeros.
+    entities = entities.where((F.col("n_e") >= TOGETHER) & (F.col("n_e") < total))
     entities = written(entities, "personal-entities")
 
     def most(n_e: Column) -> Column:

@@ -101,3 +101,9 @@ def test_revealing_terms_far_away_and_without_the_entity(spark):
     clean = {r.doc_id: r.text for r in pii.sanitise(docs).collect()}
     assert clean[0] == f"[TERM], {far} [EMAIL]" and clean[1] == f"{far} [EMAIL] {far} [TERM] {far} [TERM]"
     assert clean[2] == "of [TERM] alone" and all(clean[i] == texts[i] for i in range(3, 200))
+
+
+def test_an_entity_of_every_document_reveals_nothing(spark):
+    docs = spark.createDataFrame([(1, "write to joe@x.com today")] * 2, "doc_id long, text string")
+    assert [r.n_terms for r in pii.find_personal_data(docs).collect()] == [0, 0]
+    assert [r.text for r in pii.sanitise(docs).collect()] == ["write to [EMAIL] today"] * 2
