@@ -283,6 +283,42 @@ def _(spark, sf):
     )
 
 
+# With the limits of production, all rows and all texts.
+WHOLE = PublishSettings()
+ROOM = publish.part_room(WHOLE)
+
+
+@add(
+    "page_parts",
+    f"""WITH {PAGE_SQL}, sized AS (SELECT *, (rn - 1) // {WHOLE.row_cap} AS block, {TR} AS tr FROM numbered),
+cut AS (SELECT *, CAST((sum(strlen(tr)) OVER (PARTITION BY target, block ORDER BY rn) - strlen(tr)) AS BIGINT) // {ROOM} AS sub FROM sized),
+parts AS (SELECT target, title, rows_total, min(rn) AS a, count(*) AS row_count, string_agg(tr, '' ORDER BY rn) AS trs FROM cut GROUP BY target, title, rows_total, block, sub)
+SELECT target, row_number() OVER (PARTITION BY target ORDER BY a) AS page_no, a - 1 AS first_row, row_count, sha256('<!-- AUTO-GENERATED -->' || chr(10) || '<h1>' || {esc('title')} || '</h1>'
+ || '<p>Rows ' || a || ' to ' || (a + row_count - 1) || ' of ' || rows_total || '.</p>'
+ || '<table><thead><tr><th>order_id</th><th>priority</th><th>latest_message</th></tr></thead><tbody>' || trs || '</tbody></table>'
+ || {_FOOT.format(rows="'<br/>Rows: ' || rows_total")}) AS body_hash FROM parts""",
+)
+def _(spark, sf):
+    parts = publish.table_parts(b.artefact_rows(spark, sf), COLUMNS, "store", GENERATED, WHOLE)
+    return parts.select("target", "page_no", "first_row", "row_count", F.sha2("body", 256).alias("body_hash"))
+
+
+@add(
+    "text_parts",
+    f"""WITH t AS (SELECT doc_id, coalesce("text", '') AS whole, unnest(range(1 + greatest(0, (length(coalesce("text", '')) - 1) // {ROOM // 6}))) AS part FROM documents)
+SELECT doc_id, part + 1 AS page_no, sha256('<!-- AUTO-GENERATED -->' || chr(10) || '<h1>Doc ' || doc_id || '</h1><pre>' || {esc(f'substr(whole, part * {ROOM // 6} + 1, {ROOM // 6})')}
+  || '</pre><hr/><p><em>Source: <code>store/docs/' || doc_id || '.md</code><br/>Generated: {GENERATED}</em></p>') AS body_hash FROM t""",
+)
+def _(spark, sf):
+    i = F.col("doc_id").cast("string")
+    docs = b.table(spark, sf, "documents").select(
+        F.concat(F.lit("docs/"), i, F.lit(".md")).alias("target"), F.concat(F.lit("Doc "), i).alias("title"), "text"
+    )
+    return publish.text_parts(docs, "store", GENERATED, WHOLE).select(
+        F.regexp_extract("target", r"(\d+)", 1).cast("bigint").alias("doc_id"), "page_no", F.sha2("body", 256).alias("body_hash")
+    )
+
+
 @add(
     "attachments",
     f"""WITH {FOUND_SQL} SELECT target, regexp_extract(target, '([^/]*)$', 1) AS attachment_filename,

@@ -1,6 +1,8 @@
 """Root causes, reports, publishing on edge rows."""
 
 import hashlib
+import html
+import re
 from datetime import date, datetime, timedelta
 
 import pytest
@@ -288,3 +290,17 @@ def test_row_filter_passes_unknown_schema(spark):
     df = spark.createDataFrame([("Low",), ("Med",), ("High",), (None,)], "risk_bucket string")
     assert publish.keep_notable_risk(df).count() == 2
     assert publish.keep_notable_risk(spark.range(3)).count() == 3
+
+
+def test_parts_hold_every_row_and_text(spark):
+    cfg = PublishSettings(row_cap=7, warn_bytes=3000, hard_limit_bytes=4000)
+    rows = spark.createDataFrame([("t", "T", i, f"cell {i:03d} " + "x" * (300 if i % 5 == 0 else 3)) for i in range(40)], "target string, title string, row_no long, c string")
+    parts = publish.table_parts(rows, ["c"], "s", "now", cfg).orderBy("page_no").collect()
+    assert [p.page_no for p in parts] == list(range(1, len(parts) + 1)) and len(parts) >= 6
+    assert all(p.row_count <= 7 and p.body_bytes < 4000 for p in parts)
+    assert re.findall(r"cell (\d+)", "".join(p.body for p in parts)) == [f"{i:03d}" for i in range(40)]
+    text = "".join(f"<{i}>é" for i in range(900))
+    texts = spark.createDataFrame([("a", "A", text), ("b", "B", None)], "target string, title string, text string")
+    got = publish.text_parts(texts, "s", "now", cfg).orderBy("target", "page_no").collect()
+    assert html.unescape("".join(re.search("<pre>(.*)</pre>", r.body)[1] for r in got if r.target == "a")) == text
+    assert [r.page_no for r in got if r.target == "b"] == [1] and all(len(r.body.encode()) < 4000 for r in got)
