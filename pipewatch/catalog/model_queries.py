@@ -85,7 +85,7 @@ def _(spark, sf):
 def _(spark, sf):
     bundle, scored = trained(spark, sf, True)
     return explain.permutation_importance(
-        scored.where("split = 'test'"), bundle.model, bundle.preprocessor.slots, repeats=2
+        scored.where("split = 'test'"), bundle.model, bundle.preprocessor.slots
     )
 
 
