@@ -8,6 +8,7 @@ from pipewatch.llm.bpe import bpe_decode, bpe_encode
 from pipewatch.llm.chat import WINDOW, format_conversations, read_back
 from pipewatch.llm.common import read_table
 from pipewatch.llm.exact_dedup import exact_groups
+from pipewatch.llm.lexical import ranked_search
 from pipewatch.llm.neardup import near_duplicates
 from pipewatch.llm.packing import pack_documents
 from pipewatch.llm.pii import find_personal_data
@@ -112,6 +113,25 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+_TERMS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"""
+OP11_SQL = f"""WITH d AS (SELECT doc_id, {_TERMS} AS words FROM documents),
+t AS (SELECT doc_id, len(words) AS n, unnest(words) AS term FROM d),
+g AS (SELECT count(*) AS docs, sum(len(words))::BIGINT AS total FROM d WHERE len(words) > 0),
+p AS (SELECT doc_id, n, term, count(*) AS tf FROM t GROUP BY doc_id, n, term),
+w AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM p, g GROUP BY term, docs),
+q AS (SELECT DISTINCT item_id, unnest({_TERMS}) AS term FROM benchmark),
+s AS (SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // total))))::BIGINT AS score
+  FROM q JOIN p USING (term) JOIN w USING (term), g GROUP BY item_id, doc_id),
+r AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score
+  FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 50"""
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_exact_dedup": op2_exact_dedup,
@@ -123,5 +143,6 @@ QUERIES = {
     "op8_near_dedup": op8_near_dedup,
     "op9_sharding": op9_sharding,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op11_lexical_search": op11_lexical_search,
 }
-ORACLES = {"op2_exact_dedup": OP2_SQL, "op7_warc": OP7_SQL}
+ORACLES = {"op2_exact_dedup": OP2_SQL, "op7_warc": OP7_SQL, "op11_lexical_search": OP11_SQL}
