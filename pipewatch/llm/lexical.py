@@ -9,8 +9,9 @@ documents with an earlier term lie in an earlier list too. Only blocks whose bou
 the item's 50th document so far are skipped, so the result is that of scoring every document.
 
 Postings are never shuffled: each task indexes the documents it reads, ``SHARD`` at a time, and gives its
-best documents per item. A sixteenth of the index is searched first; its 50th scores are where the rest
-starts. Items are taken in blocks of at most ``MAX_TERMS`` different terms, each block over all documents,
+best documents per item. A sixteenth of the documents is searched first; its 50th scores are where the rest
+starts. ``build_index`` and ``search_index`` keep an index for later searches; ``ranked_search`` searches each
+shard as soon as it is built and writes no summaries. Items are taken in blocks of at most ``MAX_TERMS`` different terms, each block over all documents,
 so what is sent to tasks does not grow with either table. An item with more terms is a block of its own,
 and shards are smaller then, as their arrays span the terms of the block that occur in the shard.
 
@@ -37,7 +38,7 @@ from pipewatch.llm.common import written
 
 TOP = 50
 MAX_TERMS = 4096
-SHARD = 4096
+SHARD = 2048
 BLOCK = 64
 PROJECTED = 48
 # A stored impact is the impact over this, rounded up: below 256, as an impact is below 10**6.
@@ -110,7 +111,7 @@ _INDEX = [
     ("block_terms", np.uint32), ("block_offsets", np.int64), ("block_docs", np.uint16),
     ("summary_offsets", np.int64), ("summary_terms", np.uint32), ("summary_impacts", np.uint8),
 ]
-INDEX = "shard long, " + ", ".join(f"{name} binary" for name, _ in _INDEX)
+INDEX = ", ".join(f"{name} binary" for name, _ in _INDEX)
 
 
 def blocks_of(members: np.ndarray, alike: np.ndarray) -> list[np.ndarray]:
@@ -141,18 +142,17 @@ def shard_arrays(ids, ns, offsets, terms, tfs, documents: int, length: int) -> d
     by_term = np.argsort(terms, kind="stable")
     starts = np.searchsorted(terms[by_term], present)
     out = {k: [] for k in ("docs", "terms", "sizes", "widths", "at", "max")}
+    wide = present.astype(np.uint32)
     for term, members in zip(present, np.split(rows[by_term], starts[1:]) if len(present) else []):
-        blocks = blocks_of(members, alike)
-        sizes = [len(b) for b in blocks]
-        joined = np.concatenate(blocks)
-        tops = np.maximum.reduceat(rounded[joined], np.cumsum([0, *sizes[:-1]]), axis=0)
-        block, at = tops.nonzero()
-        out["docs"].append(joined)
-        out["terms"].append(np.full(len(blocks), term))
-        out["sizes"].append(np.array(sizes))
-        out["widths"].append(np.bincount(block, minlength=len(blocks)))
-        out["at"].append(present[at])
-        out["max"].append(tops[block, at])
+        for block in blocks_of(members, alike):
+            top = rounded[block].max(axis=0)
+            at = np.flatnonzero(top)
+            out["docs"].append(block.astype(np.uint16))
+            out["terms"].append([term])
+            out["sizes"].append([len(block)])
+            out["widths"].append([len(at)])
+            out["at"].append(wide[at])
+            out["max"].append(top[at])
     flat = {k: np.concatenate(v) if v else np.zeros(0, np.int64) for k, v in out.items()}
     return {
         "doc_id": ids[0], "known": ids[1],
@@ -164,32 +164,32 @@ def shard_arrays(ids, ns, offsets, terms, tfs, documents: int, length: int) -> d
 
 def build_index(vectors: DataFrame, size: int, documents: int, length: int) -> DataFrame:
     """``INDEX`` rows over ``vectors``; ``size`` is the vocabulary's."""
-    rows = max(1, min(SHARD, SHARD * MAX_TERMS // max(size, 1)))
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        schema = pa.schema([("shard", pa.int64()), *[(name, pa.binary()) for name, _ in _INDEX]])
-        number = TaskContext.get().partitionId() << 32
-        for table in _shards(batches, rows):
-            ids, terms, tfs = table["doc_id"].combine_chunks(), table["terms"].combine_chunks(), table["tfs"].combine_chunks()
-            offsets = terms.offsets.to_numpy().astype(np.int64)
-            arrays = shard_arrays(
-                (ids.fill_null(0).to_numpy(), ids.is_valid().to_numpy(zero_copy_only=False)),
-                table["n"].to_numpy(),
-                offsets - offsets[0],
-                terms.flatten().to_numpy().astype(np.int64),
-                tfs.flatten().to_numpy(),
-                documents,
-                length,
-            )
-            row = [number, *[arrays[name].astype(kind).tobytes() for name, kind in _INDEX]]
+        schema = pa.schema([(name, pa.binary()) for name, _ in _INDEX])
+        for arrays in shards_of(batches, size, documents, length):
+            row = [arrays[name].astype(kind).tobytes() for name, kind in _INDEX]
             yield pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, schema)], schema=schema)
-            number += 1
 
     return vectors.mapInArrow(index, INDEX)
 
 
+def shards_of(batches: Iterator[pa.RecordBatch], size: int, documents: int, length: int) -> Iterator[dict[str, np.ndarray]]:
+    """The arrays of each shard of a task's vectors."""
+    for table in _shards(batches, max(1, min(SHARD, SHARD * MAX_TERMS // max(size, 1)))):
+        ids, terms, tfs = table["doc_id"].combine_chunks(), table["terms"].combine_chunks(), table["tfs"].combine_chunks()
+        offsets = terms.offsets.to_numpy().astype(np.int64)
+        yield shard_arrays(
+            (ids.fill_null(0).to_numpy(), ids.is_valid().to_numpy(zero_copy_only=False)),
+            table["n"].to_numpy(),
+            offsets - offsets[0],
+            terms.flatten().to_numpy().astype(np.int64),
+            tfs.flatten().to_numpy(),
+            documents,
+            length,
+        )
+
+
 def _shards(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.Table]:
     """The batches of a task, dealt out anew in tables of ``rows`` rows."""
     held, count = [], 0
@@ -267,26 +267,46 @@ def search_shard(arrays: dict[str, np.ndarray], size: int, items: Sequence[np.nd
     return scored
 
 
-def search_index(index: DataFrame, size: int, items: Sequence[np.ndarray], weight: np.ndarray, floors: Sequence[int], top: int) -> DataFrame:
-    """``item`` (its number), ``doc_id``, ``score``: each task's best documents with a score of at least the item's floor."""
+FOUND = "item int, doc_id long, score long"
+
+
+def _search(shards: Iterator[dict], size: int, items: Sequence[np.ndarray], weight: np.ndarray, floors: Sequence[int], top: int):
+    """The best documents of a task's shards per item, with a score of at least the item's floor."""
     # The heaviest terms first: documents that hold them leave the long lists of the light ones.
     ordered = [i[np.argsort(-weight[i], kind="stable")] for i in (i[weight[i] > 0] for i in items)]
+    best = [Best(f, top) for f in floors]
+    for arrays in shards:
+        search_shard(arrays, size, ordered, weight, best)
+    item = np.repeat(np.arange(len(best)), [len(b.doc) for b in best])
+    if len(item):
+        doc, unknown, score = (np.concatenate([getattr(b, a) for b in best]) for a in ("doc", "unknown", "score"))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(item, pa.int32()), pa.array(doc, pa.int64(), mask=unknown > 0), pa.array(score, pa.int64())],
+            names=["item", "doc_id", "score"],
+        )
+
+
+def search_index(index: DataFrame, size: int, items: Sequence[np.ndarray], weight: np.ndarray, floors: Sequence[int], top: int) -> DataFrame:
+    """``item`` (its number), ``doc_id``, ``score`` from a kept index; ``best_of`` joins the tasks' answers."""
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best = [Best(f, top) for f in floors]
-        for batch in batches:
-            for i in range(batch.num_rows):
-                arrays = {name: np.frombuffer(batch.column(name)[i].as_buffer(), kind) for name, kind in _INDEX}
-                search_shard(arrays, size, ordered, weight, best)
-        item = np.repeat(np.arange(len(best)), [len(b.doc) for b in best])
-        if len(item):
-            doc, unknown, score = (np.concatenate([getattr(b, a) for b in best]) for a in ("doc", "unknown", "score"))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(item, pa.int32()), pa.array(doc, pa.int64(), mask=unknown > 0), pa.array(score, pa.int64())],
-                names=["item", "doc_id", "score"],
-            )
+        shards = (
+            {name: np.frombuffer(batch.column(name)[i].as_buffer(), kind) for name, kind in _INDEX} for batch in batches for i in range(batch.num_rows)
+        )
+        yield from _search(shards, size, items, weight, floors, top)
 
-    return index.mapInArrow(search, "item int, doc_id long, score long")
+    return index.mapInArrow(search, FOUND)
+
+
+def search_vectors(
+    vectors: DataFrame, size: int, documents: int, length: int, items: Sequence[np.ndarray], weight: np.ndarray, floors: Sequence[int], top: int
+) -> DataFrame:
+    """As ``search_index``, but each shard's index lives only while it is searched."""
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _search(shards_of(batches, size, documents, length), size, items, weight, floors, top)
+
+    return vectors.mapInArrow(search, FOUND)
 
 
 def best_of(found: DataFrame, top: int) -> DataFrame:
@@ -348,12 +368,15 @@ def _search_block(docs: DataFrame, block: list[tuple], vocabulary: list[bytes],
     weight = weights(documents, frequency)
     place = {t: i for i, t in enumerate(vocabulary)}
     numbered = [np.array([place[t] for t in words], np.int64) for _, words in block]
-    index = written(build_index(vectors.where(F.size("terms") > 0), size, documents, length), "index")
-    early = F.pmod(F.xxhash64("shard"), F.lit(16)) == 0
-    first = written(best_of(search_index(index.where(early), size, numbered, weight, [1] * len(block), top), top), "early")
+    held = vectors.where(F.size("terms") > 0)
+    early = F.pmod(F.xxhash64("doc_id"), F.lit(16)) == 0
+
+    def search(part: DataFrame, floors: list[int]) -> DataFrame:
+        return search_vectors(part, size, documents, length, numbered, weight, floors, top)
+
+    first = written(best_of(search(held.where(early), [1] * len(block)), top), "early")
     floors = [1] * len(block)
     # One row per item of the block.
     for item, floor in first.where(F.col("rank") == top).select("item", "score").collect():
         floors[item] = floor
-    rest = search_index(index.where(~early), size, numbered, weight, floors, top)
-    return best_of(rest.unionByName(first.drop("rank")), top)
+    return best_of(search(held.where(~early), floors).unionByName(first.drop("rank")), top)

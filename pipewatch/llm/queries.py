@@ -9,6 +9,7 @@ from pipewatch.llm.chat import WINDOW, format_conversations, read_back
 from pipewatch.llm.common import read_table
 from pipewatch.llm.exact_dedup import exact_groups
 from pipewatch.llm.lexical import ranked_search
+from pipewatch.llm.line_dedup import drop_repeated_lines
 from pipewatch.llm.neardup import near_duplicates
 from pipewatch.llm.packing import pack_documents
 from pipewatch.llm.pii import find_personal_data
@@ -132,6 +133,22 @@ r AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DES
 SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 50"""
 
 
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = drop_repeated_lines(read_table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+OP12_SQL = """WITH l AS (
+  SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS i
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents)),
+k AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                          'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+r AS (SELECT key, max(doc_id) AS top FROM k WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT doc_id) >= 3)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE doc_id < top) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE top IS NULL OR doc_id >= top), '')) AS kept_sha256
+FROM k LEFT JOIN r USING (key) GROUP BY doc_id"""
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_exact_dedup": op2_exact_dedup,
@@ -144,5 +161,6 @@ QUERIES = {
     "op9_sharding": op9_sharding,
     "op10_best_fit_packing": op10_best_fit_packing,
     "op11_lexical_search": op11_lexical_search,
+    "op12_line_dedup": op12_line_dedup,
 }
-ORACLES = {"op2_exact_dedup": OP2_SQL, "op7_warc": OP7_SQL, "op11_lexical_search": OP11_SQL}
+ORACLES = {"op2_exact_dedup": OP2_SQL, "op7_warc": OP7_SQL, "op11_lexical_search": OP11_SQL, "op12_line_dedup": OP12_SQL}

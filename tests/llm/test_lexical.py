@@ -125,3 +125,17 @@ def test_blocks_hold_every_member(n):
     members = np.arange(0, 2 * n, 2)
     blocks = lexical.blocks_of(members, np.random.default_rng(1).standard_normal((2 * n + 1, 4)))
     assert sorted(np.concatenate(blocks)) == list(members)
+
+
+def test_a_kept_index_answers_alike(spark):
+    docs, items = corpus(300)
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    vocabulary = sorted({t for _, text in items for t in terms_of(text.encode())})
+    vectors = lexical.term_vectors(table, vocabulary).cache()
+    numbered = [np.array([vocabulary.index(t) for t in terms_of(text.encode())]) for _, text in items]
+    weight = np.arange(1, len(vocabulary) + 1) * 37
+    length = vectors.agg({"n": "sum"}).first()[0]
+    args = (len(vocabulary), numbered, weight, [1] * len(items), 20)
+    index = lexical.build_index(vectors, len(vocabulary), 300, length)
+    kept = lexical.best_of(lexical.search_index(index, *args), 20).collect()
+    assert kept and sorted(kept) == sorted(lexical.best_of(lexical.search_vectors(vectors, len(vocabulary), 300, length, *args[1:]), 20).collect())
