@@ -98,9 +98,9 @@ class LineRuns:
             return
         unseen = self.spark.table(keys)
         for name in earlier:
-            unseen = unseen.join(self.spark.table(name).select(*KEY), KEY, "left_anti")
+            unseen = unseen.join(self.spark.table(name).select(*KEY).hint("merge"), KEY, "left_anti")
         new = self._run(unseen)
-        seen = self._run(self.spark.table(keys).join(self.spark.table(new).select(*KEY), KEY, "left_anti"))
+        seen = self._run(self.spark.table(keys).join(self.spark.table(new).select(*KEY).hint("merge"), KEY, "left_anti"))
         self.spark.sql(f"DROP TABLE {keys}")
         self._push(self.first, new)
         self._push(self.again, seen)

@@ -69,7 +69,7 @@ def test_runs_are_levelled_and_disjoint(spark):
     assert [len(level) for level in runs.first] == [1, 1, 1]
     first = [tuple(r) for level in runs.first for n in level for r in spark.table(n).select("hi", "lo").collect()]
     assert len(first) == len(set(first)) == line_hashes(spark.createDataFrame(rows, "doc_id long, text string")).select("hi", "lo").distinct().count()
-    plan = spark.table(runs.first[0][0]).join(spark.table(runs.first[2][0]), ["hi", "lo"], "left_anti")._jdf.queryExecution().executedPlan().toString()
+    plan = spark.table(runs.first[0][0]).join(spark.table(runs.first[2][0]).hint("merge"), ["hi", "lo"], "left_anti")._jdf.queryExecution().executedPlan().toString()
     assert "Bucketed: true" in plan and "hashpartitioning" not in plan
     counted = line_hashes(spark.createDataFrame(rows, "doc_id long, text string")).groupBy("hi", "lo").agg(F.count("*").alias("n"), F.max("id").alias("top")).where("n >= 3")
     assert sorted(runs.repeated(3).collect()) == sorted(counted.collect())
