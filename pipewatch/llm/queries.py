@@ -13,6 +13,7 @@ from pipewatch.llm.line_dedup import drop_repeated_lines
 from pipewatch.llm.neardup import near_duplicates
 from pipewatch.llm.packing import pack_documents
 from pipewatch.llm.pii import find_personal_data
+from pipewatch.llm.prefix_trie import paths, prefix_trie, rebuilt
 from pipewatch.llm.quality import STATISTICS, quality_rules
 from pipewatch.llm.sharding import shard_records
 from pipewatch.llm.toxicity import REJECT_FROM, fit_toxicity, held_out, toxicity
@@ -149,6 +150,31 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE doc_id < top) AS n_dr
 FROM k LEFT JOIN r USING (key) GROUP BY doc_id"""
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(rebuilt(paths(read_table(spark, sf_dir, "conversations"))))
+
+
+# The CRC-32 of the decimal id, bit by bit over its bytes.
+_CRC = """xor(list_reduce(list_prepend(4294967295, list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+    lambda c, b: list_reduce(list_prepend(xor(c, b), [0, 0, 0, 0, 0, 0, 0, 0]), lambda a, i: xor(a >> 1, (a & 1) * 3988292384))), 4294967295)"""
+OP13_SQL = f"""WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+o AS (SELECT conv_id, list({{'role': role, 'text': text}} ORDER BY turn NULLS FIRST, role, md5(concat(length(role), ':', role, ':', text))) AS own,
+        {_CRC} % 9 AS h FROM t GROUP BY conv_id),
+c AS (SELECT o.conv_id, list_concat(coalesce(b.own[1:o.h], []), o.own[o.h + 1:]) AS turns
+      FROM o LEFT JOIN o AS b ON b.conv_id = o.conv_id - o.conv_id % 5),
+m AS (SELECT conv_id, d, turns[1:d] AS p, len(turns) AS total, CASE WHEN d = 0 THEN 0 ELSE strlen(turns[d].text) END AS size
+      FROM (SELECT *, unnest(range(0, len(turns) + 1)) AS d FROM c)),
+n AS (SELECT p, d, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(size) AS size,
+        string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE total = d) AS ends FROM m GROUP BY p, d),
+k AS (SELECT p[1:d - 1] AS p, d - 1 AS d, count(*) AS n_children FROM n WHERE d > 0 GROUP BY ALL),
+w AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN k ON k.p = n.p AND k.d = n.d),
+s AS (SELECT p[1:a] AS p, a AS d, sum((n_children = 0)::INT)::BIGINT AS n_leaves, sum((n_convs - 1) * size)::BIGINT AS saved_tokens
+      FROM (SELECT *, unnest(range(0, d + 1)) AS a FROM w) GROUP BY ALL)
+SELECT w.conv_id, w.d AS depth, u.conv_id AS parent_conv_id, w.n_convs, w.n_children, s.n_leaves, s.saved_tokens,
+  sha256(coalesce(w.ends, '')) AS ends_sha256
+FROM w JOIN s ON s.p = w.p AND s.d = w.d LEFT JOIN w AS u ON u.d = w.d - 1 AND u.p = w.p[1:w.d - 1]"""
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_exact_dedup": op2_exact_dedup,
@@ -162,5 +188,12 @@ QUERIES = {
     "op10_best_fit_packing": op10_best_fit_packing,
     "op11_lexical_search": op11_lexical_search,
     "op12_line_dedup": op12_line_dedup,
+    "op13_prefix_trie": op13_prefix_trie,
+}
+ORACLES = {
+    "op2_exact_dedup": OP2_SQL,
+    "op7_warc": OP7_SQL,
+    "op11_lexical_search": OP11_SQL,
+    "op12_line_dedup": OP12_SQL,
+    "op13_prefix_trie": OP13_SQL,
 }
-ORACLES = {"op2_exact_dedup": OP2_SQL, "op7_warc": OP7_SQL, "op11_lexical_search": OP11_SQL, "op12_line_dedup": OP12_SQL}
