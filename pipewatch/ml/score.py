@@ -27,7 +27,7 @@ def predict(
     """
     bundle.validate()
     scored = with_top_drivers(
-        probabilities(bundle, frame), bundle.model, bundle.preprocessor.slots
+        probabilities(bundle, frame), bundle.model, bundle.preprocessor.names_of, width=bundle.preprocessor.size
     ).select("dag_id", "run_id", "logical_date", PROB, "top_drivers")
     risky = with_risk(
         durable(scored),

@@ -63,7 +63,7 @@ def train_job(
     bundle.save(f"{out}/artefacts/model")
 
     importance = explain.permutation_importance(
-        scored.where("split = 'test'"), bundle.model, bundle.preprocessor.slots, seed=cfg.model.random_state
+        scored.where("split = 'test'"), bundle.model, bundle.preprocessor.slot_table(), seed=cfg.model.random_state
     )
     artefacts.write_table(importance, f"{out}/artefacts/feature_importance", "csv")
     by_split = fit.training_metrics(bundle, scored)
