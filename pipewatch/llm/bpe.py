@@ -8,7 +8,8 @@ words of a batch at once. Only words with a failing pair are merged exactly.
 
 A tokenizer is the ``tokenizers`` JSON of a byte-level BPE model without normaliser. Defined
 results: NULL text counts as empty and gives no ids; an added token inside a text is its id;
-rows, ids and key values that repeat are encoded each for itself; other columns are not touched.
+rows, ids and key values that repeat are encoded each for itself; very long texts are split whole, a
+bounded slice at a time; an empty table gives an empty one; other columns, of any name, are not touched.
 """
 
 from __future__ import annotations
@@ -26,12 +27,15 @@ from pyspark.sql import Column, functions as F
 
 # The fixed pattern of the byte-level pre-tokenizer.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-# Words whose ids a worker remembers; all are forgotten when there are more.
-REMEMBERED = 150_000
+# Words whose ids a worker remembers, twice: when there are more, those not met since the last time go.
+REMEMBERED = 250_000
+# Bytes up to which a word is merged by looking at all its pairs each time.
+SHORT = 24
 # Characters of a text, and of a group of texts, that are split at a time.
 SLICE = 1 << 18
 
 _NEVER = np.int64(1) << 40
+_NO_RANK = 1 << 40
 
 
 def byte_alphabet() -> list[str]:
@@ -78,7 +82,9 @@ class SpeculativeBpe:
         self.added_pattern = re.compile("(" + "|".join(map(re.escape, names)) + ")") if names else None
         self.words = regex.compile(PATTERN)
         self.border = regex.compile(r"(?<=\S)\s")
+        self.byte_ids = [self.id_of[bytes([b])] for b in range(256)]
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     # -- speculation ---------------------------------------------------------
 
@@ -116,8 +122,10 @@ class SpeculativeBpe:
     # -- exact merging -------------------------------------------------------
 
     def merged(self, word: bytes) -> list[int]:
-        """Lowest rank first, leftmost first, with a heap: long words stay quick."""
-        ids = [self.id_of[word[i : i + 1]] for i in range(len(word))]
+        """Lowest rank first, leftmost first; longer words with a heap, so that they stay quick."""
+        ids = [self.byte_ids[b] for b in word]
+        if len(ids) <= SHORT:
+            return self._merged_short(ids)
         after, before = list(range(1, len(ids) + 1)), list(range(-1, len(ids) - 1))
         heap = [(*self.merge[p], i, *p) for i, p in enumerate(zip(ids, ids[1:])) if p in self.merge]
         heap = [(rank, i, new, x, y) for rank, new, i, x, y in heap]
@@ -139,6 +147,19 @@ class SpeculativeBpe:
                         heapq.heappush(heap, (rank, p, made, *pair))
         return [i for i in ids if i >= 0]
 
+    def _merged_short(self, ids: list[int]) -> list[int]:
+        merge, none = self.merge.get, (_NO_RANK, -1)
+        pairs = [merge(p, none) for p in zip(ids, ids[1:])]
+        while pairs and (best := min(pairs))[0] < _NO_RANK:
+            i = pairs.index(best)
+            ids[i : i + 2] = [best[1]]
+            del pairs[i]
+            if i:
+                pairs[i - 1] = merge((ids[i - 1], ids[i]), none)
+            if i < len(pairs):
+                pairs[i] = merge((ids[i], ids[i + 1]), none)
+        return ids
+
     def encode_words(self, words: list[bytes]) -> list[list[int]]:
         guesses = [self.greedy(w) for w in words]
         flat = np.fromiter((i for g in guesses for i in g), np.int64)
@@ -163,9 +184,14 @@ class SpeculativeBpe:
     def _ids_of(self, parts: list[list[str]]) -> list[bytes]:
         """Ids of lists of words, as little-endian unsigned 32-bit numbers."""
         if len(self.known) > REMEMBERED:
-            self.known.clear()
-        known = self.known
-        new = list({w for words in parts for w in words if w not in known})
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
+        new = []
+        for word in {w for words in parts for w in words if w not in known}:
+            if (ids := older.get(word)) is None:
+                new.append(word)
+            else:
+                known[word] = ids
         for word, ids in zip(new, self.encode_words([w.encode() for w in new])):
             known[word] = np.array(ids, "<u4").tobytes()
         return [b"".join([known[w] for w in words]) for words in parts]
@@ -231,3 +257,16 @@ def bpe_decode(ids: Column, path: str) -> Column:
             yield pd.Series([bpe.decode(x or b"") for x in rows], dtype=object)
 
     return decode(ids)
+
+
+def bpe_round_trip(text: Column, path: str) -> Column:
+    """``ids`` as of :func:`bpe_encode` and ``decoded``, the text that they decode to, in one pass."""
+
+    @F.pandas_udf("ids binary, decoded string")
+    def both(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        bpe = _loaded(path)
+        for texts in batches:
+            ids = bpe.encode(texts.fillna("").tolist())
+            yield pd.DataFrame({"ids": pd.Series(ids, dtype=object), "decoded": pd.Series([bpe.decode(x) for x in ids], dtype=object)})
+
+    return both(text)

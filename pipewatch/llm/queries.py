@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pipewatch.llm.bpe import bpe_decode, bpe_encode
+from pipewatch.llm.bpe import bpe_round_trip
 from pipewatch.llm.chat import WINDOW, format_conversations, read_back
 from pipewatch.llm.common import read_table
 from pipewatch.llm.exact_dedup import exact_groups
@@ -48,13 +48,13 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM d
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = vocabulary("byte_bpe_50k.json")
     docs = read_table(spark, sf_dir, "documents")
-    encoded = docs.select("doc_id", bpe_encode(F.col("text"), path).alias("ids"))
-    decoded = encoded.select("doc_id", "ids", bpe_decode(F.col("ids"), path).alias("decoded"))
-    return decoded.select(
+    # Ids stay in the worker that decodes them again.
+    both = docs.select("doc_id", bpe_round_trip(F.col("text"), path).alias("both"))
+    return both.select(
         "doc_id",
-        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
-        F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
+        (F.octet_length("both.ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("both.ids", 256).alias("ids_sha256"),
+        F.sha2("both.decoded", 256).alias("decoded_sha256"),
     )
 
 

@@ -118,3 +118,27 @@ def test_sequences_hold_the_ids(spark):
     assert sum(map(len, ids.values())) == 4 * placed.agg(F.sum("length")).first()[0]
     for r in placed.collect():
         assert zlib.crc32(ids[r.sequence_id][4 * r.offset : 4 * (r.offset + r.length)]) == r.ids_crc32
+
+
+def test_one_pass_equals_two_and_memory_of_words_is_bounded(spark, docs, monkeypatch):
+    path = vocabulary("byte_bpe_50k.json")
+    both = docs.select("text", bpe.bpe_round_trip(F.col("text"), path).alias("both"), bpe.bpe_encode(F.col("text"), path).alias("one"))
+    for row in both.collect():
+        assert (row.both.ids, row.both.decoded) == (row.one, row.text or "")
+    assert docs.limit(0).select(bpe.bpe_round_trip(F.col("text"), path)).count() == 0
+    whole = bpe.SpeculativeBpe(path)
+    monkeypatch.setattr(bpe, "REMEMBERED", 3)
+    small = bpe.SpeculativeBpe(path)
+    for text in TEXTS[3:] * 2:
+        assert small.encode([text]) == whole.encode([text])
+        assert set(text.split()) or small.known is not None
+    assert len(small.older) < len(whole.known)
+
+
+def test_short_and_long_words_merge_alike(monkeypatch):
+    path = vocabulary("byte_bpe_50k.json")
+    own = bpe.SpeculativeBpe(path)
+    words = [w.encode() for t in TEXTS[3:] for w in own.words.findall(t)]
+    short = [own.merged(w) for w in words]
+    monkeypatch.setattr(bpe, "SHORT", 0)
+    assert [own.merged(w) for w in words] == short
