@@ -17,10 +17,10 @@ from pipewatch.ml.trees import LinearScorer, TreeScorer, vector_parts
 from pipewatch.operators.ranking import with_row_index
 from pipewatch.plans import features as ft
 from pipewatch.session import durable
-from pipewatch.settings import ModelSettings
 
 QUERIES, ORACLES = {}, {}
-MODEL = ModelSettings(val_days=300, test_days=300)
+# The orders span years.
+SPLIT = {"val_days": 300, "test_days": 300}
 _models: dict = {}
 _frames: dict = {}
 
@@ -48,7 +48,7 @@ def trained(spark, sf, boosted):
     key = (spark.sparkContext.applicationId, sf, boosted)
     if key not in _models:
         frame = _frame(spark, sf)
-        _models[key] = fit.train(frame, MODEL, boosted=boosted)
+        _models[key] = fit.train(frame, boosted=boosted, **SPLIT)
     return _models[key]
 
 
@@ -105,7 +105,7 @@ def _(spark, sf):
     frame = ft.inference_frame(
         TARGET_DAY, runs, b.order_tasks(spark, sf), b.customer_pipelines(spark, sf), None, CFG
     )
-    return score.predict(bundle, frame, MODEL, b.order_logs(spark, sf), runs)
+    return score.predict(bundle, frame, b.order_logs(spark, sf), runs)
 
 
 @add("candidate_metrics")

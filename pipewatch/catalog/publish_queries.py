@@ -199,11 +199,21 @@ def _(spark, sf):
     return publish.capped_rows(o, 3000).select("target", "rows_total", "row_no")
 
 
+# Hashes of ten thousand lines' hashes at a time.
+CHUNK_SQL = f"""chunks AS (SELECT target, (rn - 1) // 10000 AS chunk_no, count(*) AS row_count, sum(strlen({CSV}) + 1)::BIGINT AS payload_bytes,
+ sha256(string_agg(sha256({CSV} || chr(10)), '' ORDER BY rn)) AS chunk_hash FROM numbered GROUP BY ALL)"""
+
+
+@add("attachment_chunks", f"WITH {PAGE_SQL}, {CHUNK_SQL} SELECT target, chunk_no, row_count, payload_bytes, chunk_hash FROM chunks")
+def _(spark, sf):
+    return publish.payload_chunks(_numbered(spark, sf), COLUMNS)
+
+
 @add(
     "table_hash",
-    f"""WITH {PAGE_SQL}, t AS (SELECT target, 'order_id,priority,latest_message' || chr(10) || string_agg({CSV} || chr(10), '' ORDER BY rn) AS txt, count(*) AS row_count
- FROM numbered GROUP BY target)
-SELECT target, sha256(txt) AS content_hash, strlen(txt) AS raw_bytes, row_count FROM t""",
+    f"""WITH {PAGE_SQL}, {CHUNK_SQL}
+SELECT target, sha256('order_id,priority,latest_message' || chr(10) || string_agg(chunk_hash, '' ORDER BY chunk_no)) AS content_hash,
+ 33 + sum(payload_bytes)::BIGINT AS raw_bytes, sum(row_count)::BIGINT AS row_count FROM chunks GROUP BY target""",
 )
 def _(spark, sf):
     return publish.table_hash(_numbered(spark, sf), COLUMNS)
@@ -215,16 +225,19 @@ NOTABLE = ["dag_id", "run_id", "risk_bucket"]
 @add(
     "notable_risk_hash",
     f"""WITH {s.SCORED}, r AS (SELECT 'outputs/grid_cv_predictions_' || strftime(day, '%Y%m%d') || '.csv' AS target, doc_id, dag_id, run_id,
-  CASE WHEN p >= 0.7 THEN 'High' WHEN p >= 0.4 THEN 'Med' ELSE 'Low' END AS risk_bucket FROM scored)
-SELECT target, sha256('dag_id,run_id,risk_bucket' || chr(10) || string_agg(dag_id || ',' || run_id || ',' || risk_bucket || chr(10), '' ORDER BY doc_id)) AS content_hash,
- count(*) AS row_count FROM r WHERE risk_bucket <> 'Low' GROUP BY target""",
+  CASE WHEN p >= 0.7 THEN 'High' WHEN p >= 0.4 THEN 'Med' ELSE 'Low' END AS risk_bucket FROM scored),
+n AS (SELECT target, row_number() OVER (PARTITION BY target ORDER BY doc_id) - 1 AS i, sha256(dag_id || ',' || run_id || ',' || risk_bucket || chr(10)) AS h
+ FROM r WHERE risk_bucket <> 'Low'),
+c AS (SELECT target, i // 10000 AS chunk_no, sha256(string_agg(h, '' ORDER BY i)) AS chunk_hash, count(*) AS k FROM n GROUP BY ALL)
+SELECT target, sha256('dag_id,run_id,risk_bucket' || chr(10) || string_agg(chunk_hash, '' ORDER BY chunk_no)) AS content_hash,
+ sum(k)::BIGINT AS row_count FROM c GROUP BY target""",
 )
 def _(spark, sf):
     rows = report.with_risk(b.scored_rows(spark, sf)).select(
         F.concat(F.lit("outputs/grid_cv_predictions_"), F.date_format("day", "yyyyMMdd"), F.lit(".csv")).alias("target"),
         F.col("run_id").cast("bigint").alias("row_no"), *NOTABLE,
     )
-    kept = with_group_index(publish.keep_notable_risk(rows), ["target"], ["row_no"])
+    kept = with_group_index(publish.kept_rows(rows, "risk_bucket", ["Med", "High"]), ["target"], ["row_no"])
     return publish.table_hash(kept, NOTABLE).select("target", "content_hash", "row_count")
 
 

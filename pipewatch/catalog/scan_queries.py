@@ -14,10 +14,10 @@ from pipewatch.operators.timeline import micros
 from pipewatch.plans import features as ft
 from pipewatch.plans.logs import run_log_signals
 from pipewatch.schemas import RUNS, conform
-from pipewatch.settings import DAY, FeatureSettings
+from pipewatch.settings import DAY
 from pipewatch.sources import tables
 
-CFG = FeatureSettings(critical_tasks=("1", "3"))
+CFG = ft.FramePlan(critical_tasks=("1", "3"))
 IDS = ["dag_id", "run_id"]
 TARGET_DAY = date(1998, 6, 1)
 
@@ -154,7 +154,7 @@ SELECT dag_id, run_id, CASE state WHEN 'failed' THEN 1.0::DOUBLE ELSE 0.0::DOUBL
 FROM order_runs WHERE state IN ('failed', 'success')""",
 )
 def _(spark, sf):
-    kept, _dropped = ft.training_targets(b.order_runs(spark, sf), CFG)
+    kept, _dropped = ft.training_targets(b.order_runs(spark, sf))
     return kept.select(*IDS, "label_failed")
 
 
@@ -163,7 +163,7 @@ def _(spark, sf):
     f"""WITH {s.ORDER_RUNS} SELECT dag_id, run_id, state FROM order_runs WHERE state = 'running'""",
 )
 def _(spark, sf):
-    _kept, dropped = ft.training_targets(b.order_runs(spark, sf), CFG)
+    _kept, dropped = ft.training_targets(b.order_runs(spark, sf))
     return dropped.select(*IDS, "state")
 
 

@@ -13,7 +13,6 @@ from pipewatch.functions import scalars
 from pipewatch.ml import metrics, split
 from pipewatch.operators.timeline import micros
 from pipewatch.plans import quality, report
-from pipewatch.settings import FeatureSettings
 
 QUERIES, ORACLES = {}, {}
 P = report.PROB
@@ -45,7 +44,7 @@ tagged AS (SELECT t.dag_id, t.run_id, t.at_us, t.y, CASE WHEN good THEN t.split
 
 def _labelled(spark, sf):
     runs = b.order_runs(spark, sf)
-    return runs.withColumn("label_failed", scalars.failure_label("state", FeatureSettings())).where(
+    return runs.withColumn("label_failed", scalars.failure_label("state")).where(
         "label_failed IS NOT NULL"
     )
 

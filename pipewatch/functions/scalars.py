@@ -8,7 +8,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pipewatch.operators.cumulative import exact_quantiles, finite
-from pipewatch.settings import FeatureSettings
+
+# The states of a run that ended badly, ended well, or has not ended.
+FAILED_RUN = ("failed", "upstream_failed", "timeout")
+ENDED_WELL = ("success",)
+NOT_ENDED = ("running", "queued", "scheduled")
 
 
 def _col(c: Column | str) -> Column:
@@ -46,11 +50,12 @@ def state_in(state: Column | str, states: Sequence[str]) -> Column:
     return F.coalesce(F.lower(_col(state)).isin([s.lower() for s in states]), F.lit(False))
 
 
-def failure_label(state: Column | str, cfg: FeatureSettings) -> Column:
+def failure_label(state: Column | str) -> Column:
+    """1 for a run that ended badly, 0 for one that ended well, else NULL."""
     s = F.lower(F.trim(_col(state)))
     return (
-        F.when(s.isin([x.lower() for x in cfg.failure_states]), 1.0)
-        .when(s.isin([x.lower() for x in cfg.success_states]), 0.0)
+        F.when(s.isin(list(FAILED_RUN)), 1.0)
+        .when(s.isin(list(ENDED_WELL)), 0.0)
         .otherwise(F.lit(None).cast("double"))
     )
 

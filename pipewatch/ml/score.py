@@ -10,15 +10,15 @@ from pipewatch.ml.fit import PROB, ModelBundle, probabilities
 from pipewatch.plans.rca import with_root_causes
 from pipewatch.plans.report import with_risk
 from pipewatch.session import durable
-from pipewatch.settings import ModelSettings
 
 
 def predict(
     bundle: ModelBundle,
     frame: DataFrame,
-    cfg: ModelSettings = ModelSettings(),
     logs: DataFrame | None = None,
     runs: DataFrame | None = None,
+    high: float = 0.70,
+    medium: float = 0.40,
 ) -> DataFrame:
     """Predictions of a frame: probability, bucket, flag, drivers, action, root causes.
 
@@ -32,8 +32,8 @@ def predict(
     risky = with_risk(
         durable(scored),
         PROB,
-        cfg.high_risk_threshold,
-        cfg.medium_risk_threshold,
+        high,
+        medium,
         bundle.threshold,
     ).withColumn("suggested_action", suggested_action(F.replace("top_drivers", F.lit("|"), F.lit(" "))))
     return with_root_causes(risky, logs, runs).orderBy(F.desc(PROB), "dag_id", "run_id")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -18,30 +19,41 @@ from pipewatch.operators.timeline import (
     trailing_streaks,
 )
 from pipewatch.session import durable
-from pipewatch.settings import DAY, HOUR, FeatureSettings
+from pipewatch.settings import DAY, HOUR
 
 KEYS = ["dag_id", "run_id", "logical_date"]
 WIDE = "decimal(38,0)"
+# The states of a task that count as failed, in general and for critical tasks.
+FAILED_TASK = ("failed", "upstream_failed", "skipped")
+FAILED_CRITICAL = ("failed", "upstream_failed")
+
+
+@dataclass(frozen=True)
+class FramePlan:
+    """How far back a target's features look, and the tasks that are watched closely."""
+
+    windows: tuple[int, ...] = (7, 30, 90)
+    pressure_hours: int = 1
+    critical_tasks: tuple[str, ...] = ()
+
 
 # --- targets --------------------------------------------------------------
 
 
-def tag_targets(runs: DataFrame, cfg: FeatureSettings) -> DataFrame:
+def tag_targets(runs: DataFrame) -> DataFrame:
     """Runs with ``label_failed`` and ``target_kind``: kept, excluded or unlabelled."""
-    label = scalars.failure_label("state", cfg)
+    label = scalars.failure_label("state")
     return runs.withColumn("label_failed", label).withColumn(
         "target_kind",
-        F.when(scalars.state_in("state", cfg.exclude_states), "excluded")
+        F.when(scalars.state_in("state", scalars.NOT_ENDED), "excluded")
         .when(F.col("label_failed").isNull(), "unlabelled")
         .otherwise("kept"),
     )
 
 
-def training_targets(
-    runs: DataFrame, cfg: FeatureSettings
-) -> tuple[DataFrame, DataFrame]:
+def training_targets(runs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(kept, dropped) targets; dropped are the excluded and the unlabelled ones."""
-    tagged = tag_targets(runs, cfg)
+    tagged = tag_targets(runs)
     kept = tagged.where("target_kind = 'kept'").drop("target_kind")
     dropped = tagged.where("target_kind <> 'kept'").drop("target_kind")
     return kept, dropped
@@ -105,7 +117,7 @@ def duration_micros(runs: DataFrame) -> Column:
     return span
 
 
-def history_deltas(runs: DataFrame, cfg: FeatureSettings) -> DataFrame:
+def history_deltas(runs: DataFrame, cfg: FramePlan) -> DataFrame:
     """Signed rows of run counts, failures and durations for every window.
 
     A run opens all its windows at once and closes each at its own time, so one
@@ -114,19 +126,19 @@ def history_deltas(runs: DataFrame, cfg: FeatureSettings) -> DataFrame:
     base = _with_micros(runs).select(
         "dag_id",
         "at",
-        scalars.state_in("state", cfg.failure_states).cast("bigint").alias("_f"),
+        scalars.state_in("state", scalars.FAILED_RUN).cast("bigint").alias("_f"),
         duration_micros(runs).alias("_d"),
     )
-    edges = ", ".join(f"struct({w} AS _w, {w * DAY}L AS _shift)" for w in (0, *cfg.windows_days))
+    edges = ", ".join(f"struct({w} AS _w, {w * DAY}L AS _shift)" for w in (0, *cfg.windows))
 
     def signed(value: str, w: int, name: str, kind: str = "bigint") -> str:
         v = f"CAST({value} AS {kind})"
         return f"CASE WHEN _w = 0 THEN {v} WHEN _w = {w} THEN -{v} END AS {name}"
 
     cols = []
-    for w in cfg.windows_days:
+    for w in cfg.windows:
         cols += [signed("1", w, f"_n{w}"), signed("_f", w, f"_f{w}")]
-    if 30 in cfg.windows_days:
+    if 30 in cfg.windows:
         d = "CAST(_d AS decimal(19,0))"
         cols += [
             signed("CASE WHEN _d IS NOT NULL THEN 1 END", 30, "_dn"),
@@ -138,7 +150,7 @@ def history_deltas(runs: DataFrame, cfg: FeatureSettings) -> DataFrame:
     )
 
 
-def task_deltas(tasks: DataFrame, runs: DataFrame, cfg: FeatureSettings) -> DataFrame:
+def task_deltas(tasks: DataFrame, runs: DataFrame, cfg: FramePlan) -> DataFrame:
     """Signed rows of task outcomes.
 
     A target sees a task when the task's run is earlier and the task's own time is
@@ -156,13 +168,13 @@ def task_deltas(tasks: DataFrame, runs: DataFrame, cfg: FeatureSettings) -> Data
         micros("queued_dttm").alias("_q"),
         micros("start_date").alias("_s"),
         F.coalesce(F.col("try_number").cast("bigint"), F.lit(0)).alias("_try"),
-        scalars.state_in("state", cfg.failed_task_states).cast("bigint").alias("_bad"),
+        scalars.state_in("state", FAILED_TASK).cast("bigint").alias("_bad"),
         F.coalesce(
             F.col("task_id").cast("string").isin(list(cfg.critical_tasks)), F.lit(False)
         ).alias("_crit")
         if cfg.critical_tasks
         else F.lit(False).alias("_crit"),
-        scalars.state_in("state", cfg.critical_failed_states).alias("_critbad"),
+        scalars.state_in("state", FAILED_CRITICAL).alias("_critbad"),
     )
     # One scan: each task opens both windows at its run and leaves each at its own time.
     windows = base.selectExpr(
@@ -207,9 +219,9 @@ def _rate(part: Column, whole: Column) -> Column:
     return F.when(whole > 0, part.cast("double") / whole.cast("double"))
 
 
-def history_columns(cfg: FeatureSettings) -> dict[str, Column]:
+def history_columns(cfg: FramePlan) -> dict[str, Column]:
     out = {}
-    for w in cfg.windows_days:
+    for w in cfg.windows:
         n = F.coalesce(F.col(f"_n{w}"), F.lit(0).cast("bigint"))
         out[f"failure_rate_{w}d"] = _rate(F.col(f"_f{w}"), n)
         out[f"runs_count_{w}d"] = n
@@ -239,7 +251,7 @@ def duration_columns() -> dict[str, Column]:
     }
 
 
-def task_columns(cfg: FeatureSettings) -> dict[str, Column]:
+def task_columns(cfg: FramePlan) -> dict[str, Column]:
     n = F.col("_tn")
     return {
         "avg_retries_30d": _rate(F.col("_retries"), n),
@@ -261,10 +273,10 @@ def _attach(targets: DataFrame, found: DataFrame, keys: list[str]) -> DataFrame:
     return _with_micros(targets).join(found, [*keys, "at"], "left")
 
 
-def with_history(targets: DataFrame, runs: DataFrame, cfg: FeatureSettings) -> DataFrame:
+def with_history(targets: DataFrame, runs: DataFrame, cfg: FramePlan) -> DataFrame:
     """Targets with failure rates and run counts per window."""
     deltas = history_deltas(runs, cfg)
-    sums = [f"_{k}{w}" for w in cfg.windows_days for k in "nf"]
+    sums = [f"_{k}{w}" for w in cfg.windows for k in "nf"]
     found = strict_prefix_sums(
         deltas.select("dag_id", "at", *sums), _instants(targets, ["dag_id"]), ["dag_id"], sums
     )
@@ -272,7 +284,7 @@ def with_history(targets: DataFrame, runs: DataFrame, cfg: FeatureSettings) -> D
     return out.drop("at", *sums)
 
 
-def with_durations(targets: DataFrame, runs: DataFrame, cfg: FeatureSettings) -> DataFrame:
+def with_durations(targets: DataFrame, runs: DataFrame, cfg: FramePlan) -> DataFrame:
     """Targets with mean, 95th percentile and spread of durations over 30 days."""
     found = strict_prefix_sums(
         history_deltas(runs, cfg).select("dag_id", "at", *HISTORY_SUMS_30),
@@ -299,9 +311,9 @@ def _p95(targets: DataFrame, runs: DataFrame) -> DataFrame:
     return found.select("dag_id", "at", (F.col("quantile") / 1e6).alias("p95_duration_30d"))
 
 
-def _streaks(targets: DataFrame, runs: DataFrame, cfg: FeatureSettings) -> DataFrame:
+def _streaks(targets: DataFrame, runs: DataFrame, cfg: FramePlan) -> DataFrame:
     return trailing_streaks(
-        _with_micros(runs).withColumn("_failed", scalars.state_in("state", cfg.failure_states)),
+        _with_micros(runs).withColumn("_failed", scalars.state_in("state", scalars.FAILED_RUN)),
         _instants(targets, ["dag_id"]),
         ["dag_id"],
         "run_id",
@@ -309,7 +321,7 @@ def _streaks(targets: DataFrame, runs: DataFrame, cfg: FeatureSettings) -> DataF
     ).select("dag_id", "at", F.col("streak").alias("consecutive_failures"))
 
 
-def with_streaks(targets: DataFrame, runs: DataFrame, cfg: FeatureSettings) -> DataFrame:
+def with_streaks(targets: DataFrame, runs: DataFrame, cfg: FramePlan) -> DataFrame:
     """Targets with the number of failures in a row right before them."""
     out = _attach(targets, _streaks(targets, runs, cfg), ["dag_id"])
     return out.withColumn(
@@ -318,7 +330,7 @@ def with_streaks(targets: DataFrame, runs: DataFrame, cfg: FeatureSettings) -> D
 
 
 def with_task_history(
-    targets: DataFrame, tasks: DataFrame, runs: DataFrame, cfg: FeatureSettings
+    targets: DataFrame, tasks: DataFrame, runs: DataFrame, cfg: FramePlan
 ) -> DataFrame:
     """Targets with retry, task-failure and queue-time features."""
     found = strict_prefix_sums(
@@ -331,12 +343,12 @@ def with_task_history(
     )
 
 
-def pressure_deltas(tasks: DataFrame, runs: DataFrame, cfg: FeatureSettings) -> DataFrame:
+def pressure_deltas(tasks: DataFrame, runs: DataFrame, cfg: FramePlan) -> DataFrame:
     """Signed rows over all pipelines: running runs nearby, tasks queued before.
 
     Bounds are inclusive, hence the shift of one microsecond at the opening.
     """
-    reach = cfg.pressure_window_hours * HOUR
+    reach = cfg.pressure_hours * HOUR
     one = F.lit(1).cast("bigint")
     running = span_deltas(
         _with_micros(runs).where(F.lower("state") == "running"),
@@ -364,7 +376,7 @@ PRESSURE = {
 
 
 def with_pressure(
-    targets: DataFrame, tasks: DataFrame, runs: DataFrame, cfg: FeatureSettings
+    targets: DataFrame, tasks: DataFrame, runs: DataFrame, cfg: FramePlan
 ) -> DataFrame:
     """Targets with how busy the whole system was around them."""
     found = strict_prefix_sums(
@@ -467,7 +479,7 @@ def feature_frame(
     tasks: DataFrame,
     pipelines: DataFrame,
     signals: DataFrame | None,
-    cfg: FeatureSettings,
+    cfg: FramePlan,
 ) -> DataFrame:
     """All features of the targets.
 
@@ -475,7 +487,7 @@ def feature_frame(
     have their own. All meet the targets on (pipeline, instant).
     """
     at_keys = ["dag_id", "at"]
-    sums = [f"_{k}{w}" for w in cfg.windows_days for k in "nf"] + HISTORY_SUMS_30 + TASK_SUMS
+    sums = [f"_{k}{w}" for w in cfg.windows for k in "nf"] + HISTORY_SUMS_30 + TASK_SUMS
     deltas = history_deltas(runs, cfg).unionByName(
         task_deltas(tasks, runs, cfg), allowMissingColumns=True
     )
@@ -497,7 +509,7 @@ def feature_frame(
     extra = [c for c in ("label_failed", "state") if c in out.columns]
     absent = [c for c in FRAME_COLUMNS if c not in out.columns]
     out = out.withColumns({c: F.lit(None).cast("string") for c in absent})
-    windows = [f"{n}_{w}d" for w in cfg.windows_days if w not in (7, 30, 90) for n in ("failure_rate", "runs_count")]
+    windows = [f"{n}_{w}d" for w in cfg.windows if w not in (7, 30, 90) for n in ("failure_rate", "runs_count")]
     return out.select(*FRAME_COLUMNS, *windows, *extra)
 
 
@@ -506,14 +518,14 @@ def training_frame(
     tasks: DataFrame,
     pipelines: DataFrame,
     signals: DataFrame | None,
-    cfg: FeatureSettings,
+    cfg: FramePlan,
     start: date | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(feature frame of the labelled runs, dropped targets).
 
     ``start`` limits the targets; earlier runs still count as their history.
     """
-    kept, dropped = training_targets(runs, cfg)
+    kept, dropped = training_targets(runs)
     if start is not None:
         recent = F.col("logical_date") >= F.lit(datetime(start.year, start.month, start.day))
         kept, dropped = kept.where(recent), dropped.where(recent)
@@ -526,7 +538,7 @@ def inference_frame(
     tasks: DataFrame,
     pipelines: DataFrame,
     signals: DataFrame | None,
-    cfg: FeatureSettings,
+    cfg: FramePlan,
 ) -> DataFrame:
     """Feature frame of the day's runs and of the pipelines expected that day."""
     # A day's targets are few and every feature family asks for them: find them once.

@@ -14,7 +14,7 @@ from pipewatch.operators.ranking import with_group_index
 from pipewatch.plans import features, publish, rca, report
 from pipewatch.plans.logs import run_log_signals
 from pipewatch.session import durable
-from pipewatch.settings import Settings
+from pipewatch.settings import PublishSettings
 from pipewatch.sources import artefacts, tables
 from pyspark.sql.types import StructType
 
@@ -23,10 +23,8 @@ def _load(spark: SparkSession, locations: Mapping[str, str]) -> dict[str, DataFr
     return {n: tables.read_table(spark, n, locations) for n in ("runs", "tasks", "pipelines", "logs")}
 
 
-def _signals(logs: DataFrame, runs: DataFrame, cfg: Settings) -> DataFrame | None:
-    if not cfg.logs.enabled:
-        return None
-    return run_log_signals(tables.logs_of_runs(logs, runs), cfg.logs)
+def _signals(logs: DataFrame, runs: DataFrame, with_logs: bool) -> DataFrame | None:
+    return run_log_signals(tables.logs_of_runs(logs, runs)) if with_logs else None
 
 
 def train_job(
@@ -34,24 +32,26 @@ def train_job(
     locations: Mapping[str, str],
     out: str,
     day: date,
-    cfg: Settings = Settings(),
-    candidates: list[dict] | None = None,
+    back_days: int = 30,
+    plan: features.FramePlan = features.FramePlan(),
+    with_logs: bool = True,
     include_leaky: bool = False,
+    **search,
 ) -> fit.ModelBundle:
-    """Train on the runs of the last ``history_days`` and store model, metrics, features.
+    """Train on the runs of the last ``back_days`` (``search`` goes to ``fit.train``) and store model, metrics, features.
 
     Runs from before that serve as history only, so that the longest window of the
     first targets is full.
     """
     raw = _load(spark, locations)
-    start = day - timedelta(days=cfg.model.history_days)
-    look_back = max((*cfg.features.windows_days, 0))
+    start = day - timedelta(days=back_days)
+    look_back = max((*plan.windows, 0))
     meta = tables.scan_metadata(
         raw["runs"], raw["tasks"], raw["pipelines"], start - timedelta(days=look_back), day
     )
     runs = meta["runs"]
     frame, _dropped = features.training_frame(
-        runs, meta["tasks"], meta["pipelines"], _signals(raw["logs"], runs, cfg), cfg.features, start
+        runs, meta["tasks"], meta["pipelines"], _signals(raw["logs"], runs, with_logs), plan, start
     )
     path = f"{out}/artefacts/training_features"
     artefacts.write_table(frame, path)
@@ -59,11 +59,11 @@ def train_job(
     if not stored.take(1):
         raise RuntimeError("the feature frame is empty, there is nothing to train on")
     names = fit.feature_columns(stored, include_leaky)
-    bundle, scored = fit.train(stored, cfg.model, names, candidates=candidates)
+    bundle, scored = fit.train(stored, names, **search)
     bundle.save(f"{out}/artefacts/model")
 
     importance = explain.permutation_importance(
-        scored.where("split = 'test'"), bundle.model, bundle.preprocessor.slot_table(), seed=cfg.model.random_state
+        scored.where("split = 'test'"), bundle.model, bundle.preprocessor.slot_table(), seed=search.get("seed", fit.SEED)
     )
     artefacts.write_table(importance, f"{out}/artefacts/feature_importance", "csv")
     by_split = fit.training_metrics(bundle, scored)
@@ -99,7 +99,9 @@ def predict_job(
     locations: Mapping[str, str],
     out: str,
     day: date,
-    cfg: Settings = Settings(),
+    plan: features.FramePlan = features.FramePlan(),
+    with_logs: bool = True,
+    **thresholds,
 ) -> DataFrame:
     """Score a day's runs and expected pipelines; replace that day's predictions."""
     bundle = fit.ModelBundle.load(spark, f"{out}/artefacts/model")
@@ -108,10 +110,10 @@ def predict_job(
     runs = meta["runs"]
     day_runs = features.day_targets(runs, day)
     frame = features.inference_frame(
-        day, runs, meta["tasks"], meta["pipelines"], _signals(raw["logs"], day_runs, cfg), cfg.features
+        day, runs, meta["tasks"], meta["pipelines"], _signals(raw["logs"], day_runs, with_logs), plan
     )
     predictions = score.predict(
-        bundle, frame, cfg.model, raw["logs"] if cfg.logs.enabled else None, runs
+        bundle, frame, raw["logs"] if with_logs else None, runs, **thresholds
     )
     artefacts.write_dated(predictions, f"{out}/{PREDICTIONS}", day)
     return spark.read.parquet(f"{out}/{PREDICTIONS}").where(F.col("dt") == F.lit(day)).drop("dt")
@@ -122,7 +124,8 @@ def report_job(
     locations: Mapping[str, str],
     out: str,
     day: date,
-    cfg: Settings = Settings(),
+    top_n: int = 10,
+    with_logs: bool = True,
 ) -> dict[str, DataFrame]:
     """Summary, table lines and root-cause sections of a day's predictions."""
     try:
@@ -132,11 +135,11 @@ def report_job(
     now, before = artefacts.read_with_previous_day(spark, f"{out}/{PREDICTIONS}", day, StructType(schema.fields))
     parts = {
         "summary": report.report_summary(now, before, day),
-        "lines": report.report_lines(report.top_rows(now, cfg.report.top_n)).select(
+        "lines": report.report_lines(report.top_rows(now, top_n)).select(
             "dag_id", "run_id", report.PROB, "line"
         ),
     }
-    if cfg.logs.enabled:
+    if with_logs:
         logs = tables.read_table(spark, "logs", locations)
         parts["root_causes"] = rca.rca_markdown(rca.root_cause_details(now, logs))
     for name, df in parts.items():
@@ -149,16 +152,16 @@ def failed_runs_job(
     locations: Mapping[str, str],
     out: str,
     day: date,
-    cfg: Settings = Settings(),
+    back_days: int = 7,
 ) -> DataFrame:
     """Failed-run summary over the lookback; replaces that day's table."""
     logs = tables.read_table(spark, "logs", locations)
-    summary = rca.failed_run_report(logs, day, cfg.report.failed_runs_lookback_days)
+    summary = rca.failed_run_report(logs, day, back_days)
     artefacts.write_dated(rca.failed_run_lines(summary), f"{out}/failed_runs_rca", day)
     return summary
 
 
-def _filtered_hash(spark: SparkSession, path: str, target: str, spec: publish.ArtefactSpec) -> DataFrame:
+def _filtered_hash(spark: SparkSession, path: str, target: str, column: str, values: Sequence[str]) -> DataFrame:
     """(target, content_hash) of a CSV after its kind's filter; no rows left is a header, a missing file no row."""
     nothing = spark.createDataFrame([], "target string, content_hash string")
     try:
@@ -171,10 +174,10 @@ def _filtered_hash(spark: SparkSession, path: str, target: str, spec: publish.Ar
     if not columns:
         return artefacts.read_text(spark, path).select(F.lit(target).alias("target"), publish.text_hash("text").alias("content_hash"))
     # A CSV is one file read in order.
-    kept = spec.row_filter(rows.withColumn("_row_no", F.monotonically_increasing_id()))
+    kept = publish.kept_rows(rows.withColumn("_row_no", F.monotonically_increasing_id()), column, values)
     numbered = with_group_index(kept.withColumn("_target", F.lit(target)), ["_target"], ["_row_no"], "_row_no")
     hashed = publish.table_hash(numbered, columns, "_target", "_row_no").select(F.col("_target").alias("target"), "content_hash")
-    header = F.sha2(F.lit(",".join(columns) + "\n"), 256)
+    header = F.lit(publish.header_hash(columns))
     one = spark.range(1).select(F.lit(target).alias("target"))
     return one.join(hashed, ["target"], "left").select("target", F.coalesce("content_hash", header).alias("content_hash"))
 
@@ -185,8 +188,8 @@ def publish_job(
     pages: DataFrame,
     state: DataFrame,
     run_day: date,
-    cfg: Settings = Settings(),
-    registry: Sequence[publish.ArtefactSpec] = publish.REGISTRY,
+    cfg: PublishSettings = PublishSettings(),
+    kinds: Sequence[tuple] = publish.KINDS,
 ) -> DataFrame:
     """Publish plan over the files under ``root``.
 
@@ -194,10 +197,10 @@ def publish_job(
     many days again. Files of artefacts whose page exists are not read. The content of a
     kind with a row filter is what the filter leaves.
     """
-    target = run_day - timedelta(days=cfg.publish.lookback_days)
+    target = run_day - timedelta(days=cfg.lookback_days)
     found = durable(
         publish.discover(
-            artefacts.list_objects(spark, root), target, cfg.publish.lookback_days, registry
+            artefacts.list_objects(spark, root), target, cfg.lookback_days, kinds
         )
     )
     open_ones = found.join(
@@ -205,14 +208,13 @@ def publish_job(
         ["title", "dated"],
         "left_anti",
     )
-    specs = {s.path_template: s for s in registry}
     anchor = root.rstrip("/").rsplit("/", 1)[-1]
     hashes = spark.createDataFrame([], "target string, content_hash string")
     # At most one path per kind and day of the lookback.
-    for r in open_ones.select("target", "path_template").collect():
-        path, spec = f"{root.rstrip('/')}/{r['target']}", specs[r["path_template"]]
-        if spec.row_filter is not None and spec.render_kind == "csv":
-            one = _filtered_hash(spark, path, r["target"], spec)
+    for r in open_ones.select("target", "render_kind", "kept_column", "kept_values").collect():
+        path = f"{root.rstrip('/')}/{r['target']}"
+        if r["kept_column"] is not None and r["render_kind"] == "csv":
+            one = _filtered_hash(spark, path, r["target"], r["kept_column"], r["kept_values"])
         else:
             one = artefacts.try_read_text(spark, path).select(
                 F.regexp_extract("path", rf"{anchor}/(.*)$", 1).alias("target"),

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, functions as F
 
 from pipewatch.functions import text
 from pipewatch.operators.ranking import top_k_per_group
-from pipewatch.settings import LogSettings
 
 RUN_KEYS = ["dag_id", "run_id", "logical_date"]
 TAIL_SEPARATOR = "\n\n---\n\n"
@@ -44,7 +43,8 @@ def mined_logs(
 
 def run_log_signals(
     logs: DataFrame,
-    cfg: LogSettings = LogSettings(),
+    tail_lines: int = 20,
+    tails_kept: int = 3,
     errors: Mapping[str, Sequence[str]] = text.ERROR_PATTERNS,
     keywords: Mapping[str, Sequence[str]] = text.KEYWORD_PATTERNS,
     stacktrace: str = text.STACKTRACE_PATTERN,
@@ -55,7 +55,7 @@ def run_log_signals(
     Runs with blank logs only give no row. Sums are made on the map side first and only the
     newest few tails of a run are shuffled, however many logs it has.
     """
-    mined = mined_logs(logs, errors, keywords, stacktrace, cfg.tail_lines).where("NOT is_blank")
+    mined = mined_logs(logs, errors, keywords, stacktrace, tail_lines).where("NOT is_blank")
     order = [F.col("log_ts").desc_nulls_last(), *[F.col(c).desc_nulls_last() for c in tie_break]]
     names = [f"error_cat_{k}" for k in errors] + [f"kw_{k}" for k in keywords]
     sums = mined.groupBy(*RUN_KEYS).agg(
@@ -63,10 +63,10 @@ def run_log_signals(
         F.sum("stacktrace_seen").alias("stacktrace_seen_count"),
         *[F.sum(n).alias(n) for n in names],
     )
-    newest = top_k_per_group(mined, RUN_KEYS, order, cfg.tails_kept, "_back")
-    tails = [f"_tail_{i}" for i in range(cfg.tails_kept, 0, -1)]
+    newest = top_k_per_group(mined, RUN_KEYS, order, tails_kept, "_back")
+    tails = [f"_tail_{i}" for i in range(tails_kept, 0, -1)]
     found = newest.groupBy(*RUN_KEYS).agg(
-        *[F.max(F.when(F.col("_back") == i, F.col("tail"))).alias(f"_tail_{i}") for i in range(cfg.tails_kept, 0, -1)]
+        *[F.max(F.when(F.col("_back") == i, F.col("tail"))).alias(f"_tail_{i}") for i in range(tails_kept, 0, -1)]
     )
     # Put together by grouping, in which NULL keys are a run of their own.
     agg = sums.unionByName(found, allowMissingColumns=True).groupBy(*RUN_KEYS).agg(

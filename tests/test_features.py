@@ -9,9 +9,8 @@ from pyspark.sql import functions as F
 from pipewatch.plans import features as ft
 from pipewatch.plans.logs import run_log_signals
 from pipewatch.schemas import LOGS, PIPELINES
-from pipewatch.settings import FeatureSettings, LogSettings
 
-CFG = FeatureSettings(critical_tasks=("t1",))
+CFG = ft.FramePlan(critical_tasks=("t1",))
 FAILED = {"failed", "upstream_failed", "timeout"}
 BASE = datetime(2024, 1, 1)
 
@@ -131,7 +130,7 @@ def test_targets(spark):
         [("a", "1", "Failed "), ("a", "2", "success"), ("a", "3", "Running"), ("a", "4", None), ("a", "5", "odd")],
         "dag_id string, run_id string, state string",
     )
-    kept, dropped = ft.training_targets(runs, CFG)
+    kept, dropped = ft.training_targets(runs)
     assert {(x.run_id, x.label_failed) for x in kept.collect()} == {("1", 1.0), ("2", 0.0)}
     assert {x.run_id for x in dropped.collect()} == {"3", "4", "5"}
 
@@ -177,7 +176,7 @@ def test_log_signals(spark):
         ("a", "1", "t", 1, None, "ERROR", None, "no time: killed", None),
     ]
     logs = spark.createDataFrame(rows, LOGS).withColumn("logical_date", F.lit(BASE))
-    got = run_log_signals(logs, LogSettings(tail_lines=1)).collect()
+    got = run_log_signals(logs, tail_lines=1).collect()
     assert len(got) == 1
     r = got[0]
     # All logs count but the blank one; the log without a time is the oldest.

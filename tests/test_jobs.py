@@ -8,12 +8,11 @@ from pyspark.sql import functions as F
 
 from pipewatch.plans import jobs
 from pipewatch.schemas import LOGS
-from pipewatch.settings import ModelSettings, Settings
 from pipewatch.sources import artefacts
 
 DAY = date(2024, 4, 10)
 CANDIDATES = [{"n_estimators": 3, "max_depth": 2, "learning_rate": 0.3, "subsample": 1.0, "colsample": 1.0}]
-CFG = Settings(model=ModelSettings(history_days=30, high_risk_threshold=0.3, medium_risk_threshold=0.1))
+RISK = {"high": 0.3, "medium": 0.1}
 
 
 def write_tables(spark, root):
@@ -51,14 +50,14 @@ def write_tables(spark, root):
 def test_jobs(spark, tmp_path):
     where = write_tables(spark, str(tmp_path))
     out = str(tmp_path / "out")
-    bundle = jobs.train_job(spark, where, out, DAY, CFG, CANDIDATES)
+    bundle = jobs.train_job(spark, where, out, DAY, candidates=CANDIDATES)
     stored = spark.read.parquet(f"{out}/artefacts/training_features")
     # One row per run and not per version; history reaches back before the targets.
     assert stored.count() == len({r.run_id for r in stored.select("run_id").collect()})
     assert stored.agg({"runs_count_90d": "max"}).first()[0] > 30
     assert bundle.threshold > 0
 
-    predictions = jobs.predict_job(spark, where, out, date(2024, 4, 10), CFG)
+    predictions = jobs.predict_job(spark, where, out, date(2024, 4, 10), **RISK)
     ids = {r.dag_id for r in predictions.collect()}
     # No run that day: one expected target per pipeline known from the runs.
     assert ids == {f"p{p}" for p in range(6)}
@@ -66,12 +65,12 @@ def test_jobs(spark, tmp_path):
     assert high and all(r.rca_error_category == "QuotaRateLimit" for r in high if r.dag_id in ("p0", "p1"))
     assert all(len(r.top_drivers.split("|")) == 3 for r in predictions.collect())
 
-    jobs.predict_job(spark, where, out, date(2024, 4, 9), CFG)
-    parts = jobs.report_job(spark, where, out, DAY, CFG)
+    jobs.predict_job(spark, where, out, date(2024, 4, 9), **RISK)
+    parts = jobs.report_job(spark, where, out, DAY)
     assert parts["summary"].first().trend_line.startswith("- High-risk count change vs yesterday")
     assert parts["lines"].count() >= len(high)
     assert "QuotaRateLimit" in parts["root_causes"].first().markdown
-    failed = jobs.failed_runs_job(spark, where, out, date(2024, 4, 9), CFG)
+    failed = jobs.failed_runs_job(spark, where, out, date(2024, 4, 9))
     assert failed.count() > 0 and spark.read.parquet(f"{out}/failed_runs_rca").count() == failed.count()
 
 
@@ -119,7 +118,8 @@ def test_publish_job_takes_notable_rows_only(spark, tmp_path):
 
     head = "run_id,risk_bucket,note\n"
     kept = 'r1,High,"a, b"\nr3,Med,\n'
-    want = ("publish", hashlib.sha256((head + kept).encode()).hexdigest())
+    lines = "".join(hashlib.sha256(line.encode()).hexdigest() for line in kept.splitlines(True))
+    want = ("publish", hashlib.sha256((head + hashlib.sha256(lines.encode()).hexdigest()).encode()).hexdigest())
     assert content(head + 'r1,High,"a, b"\nr2,Low,x\nr3,Med,\n') == want
     assert content(head + 'r0,Low,y\nr1,High,"a, b"\nr3,Med,\n') == want
     assert content(head + "r0,Low,y\n") == ("publish", hashlib.sha256(head.encode()).hexdigest())

@@ -201,7 +201,7 @@ def test_discovery(spark):
         "Daily Report — 2026-06-10", "Failed Runs RCA Report — 2026-06-11", "Failed Runs RCA — 2026-06-12",
         "Latest Feature Importance", "Latest Train Metrics",
     ]
-    iso = (publish.ArtefactSpec("x/y_{iso_date}.csv", "Y — {iso_date}", "Y", "csv"),)
+    iso = [("x/y_{iso_date}.csv", "Y — {iso_date}", "Y", "csv", "file", None, None)]
     found = publish.discover(spark.createDataFrame([("a/x/y_2026-06-12.csv",)], "path string"), DAY, 2, iso)
     assert found.first().target == "x/y_2026-06-12.csv"
 
@@ -236,10 +236,23 @@ def test_plan_actions(spark):
 def test_table_hash_is_sha_of_csv(spark):
     rows = [("t", i, f'a"{i}', "x,y" if i % 2 else None) for i in range(25)]
     df = spark.createDataFrame(rows, "target string, row_no long, p string, q string").repartition(5)
-    text = "p,q\n" + "".join(f'"a""{i}",' + ('"x,y"' if i % 2 else "") + "\n" for i in range(25))
+    lines = [f'"a""{i}",' + ('"x,y"' if i % 2 else "") + "\n" for i in range(25)]
+
+    def sha(text):
+        return hashlib.sha256(text.encode()).hexdigest()
+
+    def content(chunk_rows):
+        chunks = [lines[i : i + chunk_rows] for i in range(0, 25, chunk_rows)]
+        return sha("p,q\n" + "".join(sha("".join(map(sha, c))) for c in chunks))
+
     one = publish.table_hash(df, ["p", "q"]).first()
-    assert one.content_hash == hashlib.sha256(text.encode()).hexdigest()
-    assert (one.raw_bytes, one.row_count) == (len(text), 25)
+    assert one.content_hash == content(25)
+    assert (one.raw_bytes, one.row_count) == (4 + len("".join(lines)), 25)
+    # The same definition with one chunk and with several.
+    assert publish.table_hash(df, ["p", "q"], chunk_rows=10).first().content_hash == content(10)
+    assert publish.header_hash(["p", "q"]) == sha("p,q\n")
+    chunks = publish.payload_chunks(df, ["p", "q"], chunk_rows=10).orderBy("chunk_no").collect()
+    assert [(c.chunk_no, c.row_count) for c in chunks] == [(0, 10), (1, 10), (2, 5)]
     parts = publish.table_hash(df, ["p", "q"], chunk_rows=10).first()
     changed = publish.table_hash(df.withColumn("q", F.when(F.col("row_no") != 24, F.col("q")).otherwise("z")), ["p", "q"], chunk_rows=10)
     assert parts.content_hash != one.content_hash != changed.first().content_hash
@@ -288,8 +301,8 @@ def test_retention(spark):
 
 def test_row_filter_passes_unknown_schema(spark):
     df = spark.createDataFrame([("Low",), ("Med",), ("High",), (None,)], "risk_bucket string")
-    assert publish.keep_notable_risk(df).count() == 2
-    assert publish.keep_notable_risk(spark.range(3)).count() == 3
+    assert publish.kept_rows(df, "risk_bucket", ["Med", "High"]).count() == 2
+    assert publish.kept_rows(spark.range(3), "risk_bucket", ["Med"]).count() == publish.kept_rows(spark.range(3), None, None).count() == 3
 
 
 def test_parts_hold_every_row_and_text(spark):

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from pipewatch.functions import scalars, text
 from pipewatch.functions.schedule import schedule_due
-from pipewatch.settings import FeatureSettings
 
 
 def column(spark, values, expr, kind="string"):
@@ -158,8 +157,7 @@ def test_schedule_words(spark):
 
 
 def test_labels(spark):
-    cfg = FeatureSettings()
-    got = column(spark, [" Failed ", "SUCCESS", "running", None, "upstream_failed"], scalars.failure_label("x", cfg))
+    got = column(spark, [" Failed ", "SUCCESS", "running", None, "upstream_failed"], scalars.failure_label("x"))
     assert got == [1.0, 0.0, None, None, 1.0]
 
 
