@@ -6,33 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-CUTS = 64
+from pipewatch.session import durable
 
-
-def _with_piece(df: DataFrame, order: str, keys: list[str], cuts: int) -> DataFrame:
-    """``df`` with ``_piece``: which of about ``cuts`` equal ranges the value lies in.
-
-    Approximate split points are enough, balance is all. They are fetched once, a few
-    numbers per key, because computed twice they could differ between two branches of
-    one plan. Keys are splits or columns: few.
-    """
-    qs = [i / (cuts + 1) for i in range(1, cuts + 1)]
-    points = F.percentile_approx(order, qs, 1000).cast("array<double>").alias("_cuts")
-    rows = df.groupBy(*keys).agg(points).collect()
-    if not keys:
-        found = sorted(set(rows[0]["_cuts"] or []))
-        above = " + ".join(f"int({order} > {c!r}D)" for c in found)
-        return df.selectExpr("*", f"{above or '0'} AS _piece")
-    if not rows:
-        return df.withColumn("_piece", F.lit(0))
-    names = [f"_cut{i}" for i in range(cuts)]
-    kinds = [f"{k} {df.schema[k].dataType.simpleString()}" for k in keys]
-    local = df.sparkSession.createDataFrame(
-        [(*[r[k] for k in keys], *r["_cuts"]) for r in rows],
-        ", ".join(kinds + [f"{n} double" for n in names]),
-    )
-    above = " + ".join(f"int({order} > {n})" for n in names)
-    return df.join(local, keys).selectExpr(*df.columns, f"{above} AS _piece")
+# Rows of one piece. Pieces follow the number of rows, and above so many pieces there is another level.
+PER_PIECE = 200_000
 
 
 def cumulative_sums(
@@ -41,43 +18,34 @@ def cumulative_sums(
     sums: Sequence[str],
     keys: Sequence[str] = (),
     descending: bool = False,
-    cuts: int = CUTS,
+    per_piece: int | None = None,
 ) -> DataFrame:
     """``cum_<s>``: sum over this and all earlier values of ``order``.
 
-    ``df`` holds one row per (``keys``, ``order``). The values are cut into ranges of
-    about equal size, summed inside each range, and the range totals are summed over
-    the ranges: no task holds all values.
+    ``df`` holds one row per (``keys``, ``order``) and is computed once. The rows are dealt out in ranges of
+    about ``per_piece``, summed inside each, and each range's totals are carried to the later ones of its key:
+    by a sum over the totals, or where these are many by the same steps again. No task holds all values.
     """
-    keys = list(keys)
-    placed = _with_piece(df, order, keys, cuts)
+    keys, per_piece = list(keys), per_piece or PER_PIECE
+    stored = durable(df)
+    pieces = 1 + stored.count() // per_piece
     along = F.col(order).desc() if descending else F.col(order).asc()
-    pieces = F.col("_piece").desc() if descending else F.col("_piece").asc()
-    inside = (
-        Window.partitionBy(*keys, "_piece")
-        .orderBy(along)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    across = (
-        Window.partitionBy(*keys)
-        .orderBy(pieces)
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    carried = (
-        placed.groupBy(*keys, "_piece")
-        .agg(*[F.sum(s).alias(f"_t_{s}") for s in sums])
-        .select(
-            *keys,
-            "_piece",
-            *[
-                F.coalesce(F.sum(f"_t_{s}").over(across), F.lit(0)).alias(f"_c_{s}")
-                for s in sums
-            ],
-        )
-    )
-    local = placed
-    for s in sums:
-        local = local.withColumn(f"_l_{s}", F.sum(s).over(inside))
+    if pieces == 1:
+        upto = Window.partitionBy(*keys).orderBy(along).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return stored.select(*df.columns, *[F.sum(s).over(upto).alias(f"cum_{s}") for s in sums])
+    # Made durable, so that a row keeps its range. Ranges are numbered along the order.
+    ranged = stored.repartitionByRange(pieces, *[F.col(k) for k in keys], along)
+    placed = durable(ranged.withColumn("_piece", F.spark_partition_id().cast("long")))
+    inside = Window.partitionBy(*keys, "_piece").orderBy(along).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    totals = placed.groupBy(*keys, "_piece").agg(*[F.sum(s).alias(f"_t_{s}") for s in sums])
+    if pieces <= per_piece:
+        across = Window.partitionBy(*keys).orderBy("_piece").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        summed = totals.select("*", *[F.sum(f"_t_{s}").over(across).alias(f"cum__t_{s}") for s in sums])
+    else:
+        above = totals.withColumnRenamed("_piece", "_at")
+        summed = cumulative_sums(above, "_at", [f"_t_{s}" for s in sums], keys, per_piece=per_piece).withColumnRenamed("_at", "_piece")
+    carried = summed.select(*keys, "_piece", *[(F.col(f"cum__t_{s}") - F.col(f"_t_{s}")).alias(f"_c_{s}") for s in sums])
+    local = placed.select("*", *[F.sum(s).over(inside).alias(f"_l_{s}") for s in sums])
     return local.join(carried, [*keys, "_piece"]).select(
         *df.columns,
         *[(F.col(f"_l_{s}") + F.col(f"_c_{s}")).alias(f"cum_{s}") for s in sums],
@@ -106,7 +74,7 @@ def exact_quantiles(
         .agg(F.count(F.lit(1)).alias("_n"))
     )
     ranked = cumulative_sums(counts, "_x", ["_n"], keys)
-    total = counts.groupBy(*keys).agg(F.sum("_n").alias("_total"))
+    total = ranked.groupBy(*keys).agg(F.max("cum__n").alias("_total"))
     if keys:
         ranked = ranked.join(total, keys)
     else:

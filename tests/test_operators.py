@@ -142,7 +142,34 @@ def test_cumulative_and_quantiles(spark):
     ).collect()}
     assert per["a"] == pytest.approx(linear(values, 0.5)) and set(per) == {"a", "b"}
     counts = df.where("v >= 0 and not isnan(v)").groupBy("v").agg(F.count("*").alias("n"))
-    got = {r.v: r.cum_n for r in cumulative_sums(counts, "v", ["n"], descending=True, cuts=5).collect()}
+    got = {r.v: r.cum_n for r in cumulative_sums(counts, "v", ["n"], descending=True, per_piece=5).collect()}
     assert got == {v: sum(1 for w in values if w >= v) for v in values}
     empty = exact_quantiles(df.where("v > 9 and not isnan(v)"), "v", {"p": 0.5}).first()
     assert empty.p is None
+
+
+@pytest.mark.parametrize("descending", [False, True])
+@pytest.mark.parametrize("per_piece", [3, 7, 40, 10_000])
+def test_cumulative_sums_in_levels(spark, per_piece, descending):
+    rnd = random.Random(per_piece)
+    # One key has most of the values, one a single one.
+    rows = [("hot", v / 4, rnd.randrange(5), rnd.randrange(3)) for v in rnd.sample(range(1000), 300)]
+    rows += [("cold", float(v), 1, v % 2) for v in range(20)] + [("one", -1.5, 9, 0)]
+    df = spark.createDataFrame(rows, "k string, v double, a long, b long")
+    got = {(r.k, r.v): (r.cum_a, r.cum_b) for r in cumulative_sums(df, "v", ["a", "b"], ["k"], descending, per_piece).collect()}
+    want, run = {}, {}
+    for k, v, a, b in sorted(rows, key=lambda r: r[1], reverse=descending):
+        x, y = run.get(k, (0, 0))
+        run[k] = want[k, v] = (x + a, y + b)
+    assert got == want
+    assert cumulative_sums(df.limit(0), "v", ["a"], ["k"], descending, per_piece).count() == 0
+
+
+def test_a_million_values_stay_in_pieces(spark):
+    df = spark.range(1_000_000).select((F.col("id") * 0.5).alias("v"), F.lit(1).cast("long").alias("n"))
+    out = cumulative_sums(df, "v", ["n"], per_piece=50_000)
+    assert out.where(F.col("cum_n") != F.col("v") * 2 + 1).count() == 0
+    sizes = out.groupBy((F.col("cum_n") / 50_000).cast("long")).count()
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    # The values' windows are over pieces; only the few totals are summed in one.
+    assert "_piece" in plan and sizes.count() >= 20
