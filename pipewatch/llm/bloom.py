@@ -47,13 +47,15 @@ def bit_table(hashes: DataFrame, bits: int, at_least: int = 1) -> DataFrame:
 def with_hits(df: DataFrame, table: DataFrame, bits: int, hashed: Column, name: str) -> DataFrame:
     """``df`` plus a boolean: false only where the hash is certainly not in the filter."""
     hit = F.lit(True)
-    out = df.withColumn("_probes", positions(hashed, bits))
+    # Helper columns get names that no column of ``df`` has.
+    free = "_" * (1 + max(map(len, df.columns)))
+    out = df.withColumn(f"{free}probes", positions(hashed, bits))
     for i in range(PROBES):
-        probe = F.col("_probes")[i]
+        probe = F.col(f"{free}probes")[i]
         # At most bits / 32,768 rows of 4 kB.
-        part = F.broadcast(table.select(F.col("bucket").alias(f"_bucket{i}"), F.col("bitmap").alias(f"_bitmap{i}")))
-        out = out.join(part, F.bitmap_bucket_number(probe) == F.col(f"_bucket{i}"), "left")
+        part = F.broadcast(table.select(F.col("bucket").alias(f"{free}bucket{i}"), F.col("bitmap").alias(f"{free}bitmap{i}")))
+        out = out.join(part, F.bitmap_bucket_number(probe) == F.col(f"{free}bucket{i}"), "left")
         bit = F.bitmap_bit_position(probe)
-        byte = F.conv(F.hex(F.substring(F.col(f"_bitmap{i}"), (bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+        byte = F.conv(F.hex(F.substring(F.col(f"{free}bitmap{i}"), (bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
         hit = hit & F.coalesce(F.floor(byte / F.pow(F.lit(2), bit % 8)).cast("int") % 2 == 1, F.lit(False))
-    return out.select(*[F.col(f"`{c}`") for c in df.columns], hit.alias(name))
+    return out.select(*[F.col(f"`{c.replace('`', '``')}`") for c in df.columns], hit.alias(name))

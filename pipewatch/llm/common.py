@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -22,6 +23,16 @@ def ascii_lower(text: Column) -> Column:
     return F.when(plain, F.lower(text)).otherwise(F.translate(text, UPPER, UPPER.lower()))
 
 
+def with_plain_names(docs: DataFrame, change: Callable[..., DataFrame], **named: str) -> DataFrame:
+    """``change`` of ``docs`` under column names that no helper column has, then under their own names again.
+
+    ``named`` are arguments of ``change`` that name columns; ``change`` keeps the columns and their order.
+    """
+    plain = [f"c{i}" for i in range(len(docs.columns))]
+    place = dict(zip(docs.columns, plain))
+    return change(docs.toDF(*plain), **{argument: place[name] for argument, name in named.items()}).toDF(*docs.columns)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a Parquet table in the shared folder: compact, columnar and safe when executors go."""
     path = scratch_path(df.sparkSession, name)

@@ -7,7 +7,8 @@ by the SHA-256 of their text, and settled exactly. A false hit costs a shuffle,
 
 Texts are equal when identical after lower-casing A-Z. Defined results: NULL text counts as
 empty; of equal texts the row with the largest id stays, a NULL id being smaller than any other;
-of rows that also share that id exactly one stays; an empty table gives an empty one.
+of rows that also share that id exactly one stays; very long texts are hashed whole; an empty table gives
+an empty one; other columns, of any name, come back unchanged.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pipewatch.llm.bloom import bit_table, filter_bits, with_hits
-from pipewatch.llm.common import ascii_lower, whole_text
+from pipewatch.llm.common import ascii_lower, whole_text, with_plain_names
 from pipewatch.session import durable
 
 def text_digest(text: str = "text") -> Column:
@@ -62,6 +63,10 @@ def drop_exact_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "tex
     Each map task sends one row per text, whatever the number of copies. Rows that share text and
     largest id are told apart by their other columns in order, which must be sortable.
     """
+    return with_plain_names(docs, _drop, key=key, text=text)
+
+
+def _drop(docs: DataFrame, key: str, text: str) -> DataFrame:
     names = docs.columns
     tested = with_maybe_repeated(docs, text)
     rest = [c for c in names if c != key]
@@ -71,5 +76,6 @@ def drop_exact_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "tex
         .groupBy(text_digest(text).alias("_digest"))
         .agg(F.max(row).alias("_stay"))
         .select(*[F.col(f"_stay.c{i}").alias(c) for i, c in enumerate([key, *rest])])
+        .select(*names)
     )
     return tested.where(~F.col("_maybe")).select(*[f"`{c}`" for c in names]).unionByName(settled)

@@ -15,8 +15,8 @@ Large buckets are dealt out in pairs of blocks, so no task holds a whole one.
 
 Defined results: NULL and empty texts have no shingles and link with nothing; a NULL id counts
 only where all ids of a component are NULL; rows that repeat an id and a text are in one component,
-and all rows whose id is the smallest are kept; an empty table gives an empty one; columns other
-than key and text are not read.
+and all rows whose id is the smallest are kept; very long texts are shingled whole; an empty table gives an
+empty one; columns other than key and text, of any name, are not read and come back unchanged.
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from pipewatch.llm.bloom import bit_table, filter_bits, with_hits
-from pipewatch.llm.common import whole_text, written
+from pipewatch.llm.common import whole_text, with_plain_names, written
 from pipewatch.llm.components import connected
 from pipewatch.session import durable
 
@@ -375,6 +375,10 @@ def _decisions(docs: DataFrame, percent: int, key: str, text: str) -> DataFrame:
 
 def drop_near_duplicates(docs: DataFrame, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents that are kept, whole. Only documents that may have to go are shuffled."""
+    return with_plain_names(docs, lambda d, key, text: _drop(d, percent, key, text), key=key, text=text)
+
+
+def _drop(docs: DataFrame, percent: int, key: str, text: str) -> DataFrame:
     of_row = F.xxhash64(F.xxhash64(F.col(key)), F.xxhash64(whole_text(text)))
     gone = _decisions(docs, percent, key, text).where("NOT kept")
     gone = durable(gone.select(F.xxhash64(F.xxhash64(F.col(key)), F.col("text_hash")).alias("_gone"), F.col(key).alias("_id")).distinct())

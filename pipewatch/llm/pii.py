@@ -23,7 +23,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from pipewatch.llm.common import whole_text, written
+from pipewatch.llm.common import whole_text, with_plain_names, written
 
 #: The patterns as they are meant, matched leftmost and without overlap.
 PLAIN = {
@@ -218,7 +218,14 @@ def _replaced(text: Column, spans: Column) -> Column:
 
 
 def sanitise(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with every base span replaced by its label, and revealing terms generalised or removed in every text."""
+    """``docs`` with every base span replaced by its label, and revealing terms generalised or removed in every text.
+
+    Other columns, of any name, come back unchanged.
+    """
+    return with_plain_names(docs, _sanitised, text=text)
+
+
+def _sanitised(docs: DataFrame, text: str) -> DataFrame:
     marked = with_added(with_spans(docs, text), text)
     label = F.create_map(*[x for k, v in LABELS.items() for x in (F.lit(k), F.lit(v))])
     base = F.transform("_spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), label[s["kind"]].alias("label")))
