@@ -16,13 +16,15 @@ the lengths between them. The patterns below find what the plain ones in ``PLAIN
 and possessive repetition only keep long runs of characters from being tried again and again, and
 the stack flat. Defined results: NULL text is empty in counts and stays NULL when sanitised; rows
 that repeat count as documents of their own; nothing reveals an
-entity that is in every document; an empty table gives an empty one.
+entity that is in every document; an empty table gives an empty one; very long texts are searched
+whole; other columns, of any name, come back unchanged from ``sanitise``.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from pipewatch.llm.bloom import bit_table, filter_bits, with_hits
 from pipewatch.llm.common import whole_text, with_plain_names, written
 
 #: The patterns as they are meant, matched leftmost and without overlap.
@@ -49,6 +51,7 @@ GENERALISE, REMOVE = 0.9, 0.97
 GENERALISED = "[TERM]"
 
 _PLACES = "array<struct<value:string,start:bigint,end:bigint>>"
+_TERMS = "array<struct<start:bigint,end:bigint,ratio:double>>"
 _SPANS = "array<struct<kind:string,value:string,start:bigint,end:bigint>>"
 
 
@@ -130,16 +133,22 @@ def masked(text: Column, spans: Column) -> Column:
     return F.when(F.size(spans) > 0, F.aggregate(places, begin, step, end)).otherwise(text)
 
 
-def with_spans(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` plus ``_row``, ``_spans`` and ``_words``, the distinct terms outside all spans as they are written; a table."""
+def _digest(text: str) -> Column:
+    return F.unhex(F.sha2(whole_text(text), 256))
+
+
+def corpus_terms(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``_row``, ``_digest`` of the text, ``_entities`` and ``_terms``: its distinct values and terms in lower case; a table without texts."""
     body = whole_text(text)
-    spanned = docs.withColumn("_row", F.monotonically_increasing_id()).withColumn("_spans", base_spans(body))
+    spanned = docs.select(F.monotonically_increasing_id().alias("_row"), F.col(text), _digest(text).alias("_digest"), base_spans(body).alias("_spans"))
+    values = F.array_distinct(F.transform("_spans", lambda s: F.lower(s["value"])))
     words = F.array_distinct(F.regexp_extract_all(masked(body, F.col("_spans")), F.lit(TERM), F.lit(0)))
-    return written(spanned.withColumn("_words", words), "personal-data")
+    terms = F.array_distinct(F.transform(words, F.lower))
+    return written(spanned.select("_row", "_digest", values.alias("_entities"), terms.alias("_terms")), "personal-terms-of")
 
 
 def _terms_of(marked: DataFrame, *columns: str) -> DataFrame:
-    return marked.select(*columns, F.explode(F.array_distinct(F.transform("_words", F.lower))).alias("term"))
+    return marked.select(*columns, F.explode("_terms").alias("term"))
 
 
 def disclosures(marked: DataFrame) -> DataFrame:
@@ -150,8 +159,8 @@ def disclosures(marked: DataFrame) -> DataFrame:
     and terms are added up first.
     """
     total = float(marked.count())
-    some = marked.where(F.size("_spans") > 0)
-    own = some.select("_row", F.explode(F.array_distinct(F.transform("_spans", lambda s: F.lower(s["value"])))).alias("entity"))
+    some = marked.where(F.size("_entities") > 0)
+    own = some.select("_row", F.explode("_entities").alias("entity"))
     entities = own.groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
     # An entity of every document carries no information, and its ratio would be one of zeros.
     entities = entities.where((F.col("n_e") >= TOGETHER) & (F.col("n_e") < total))
@@ -175,15 +184,56 @@ def disclosures(marked: DataFrame) -> DataFrame:
     return written(found.groupBy("term").agg(F.max("ratio").alias("ratio")), "personal-disclosures")
 
 
-def with_added(marked: DataFrame, text: str = "text") -> DataFrame:
-    """``marked`` plus ``_added``: ``start, end, ratio`` of every revealing term in every document, by start (NULL: none)."""
-    words = marked.select("_row", F.explode("_words").alias("word")).withColumn("term", F.lower("word"))
-    hits = words.join(disclosures(marked), "term").groupBy("_row").agg(F.map_from_entries(F.collect_list(F.struct("word", "ratio"))).alias("_hits"))
-    body = masked(whole_text(text), F.col("_spans"))
-    # The letter beyond 16 bits makes Java look behind by code points.
-    pattern = F.concat(F.lit("(?<![\\p{L}\U00010000])(?:"), F.array_join(F.map_keys("_hits"), "|"), F.lit(")(?!\\p{L})"))
-    places = F.transform(located(body, pattern), lambda t: F.struct(t["start"].alias("start"), t["end"].alias("end"), F.col("_hits")[t["value"]].alias("ratio")))
-    return marked.join(hits, "_row", "left").withColumn("_added", F.when(F.col("_hits").isNotNull(), places)).drop("_hits")
+def revealing_terms(marked: DataFrame) -> DataFrame:
+    """``_digest`` of each text with revealing terms, and ``_ratios`` of these by term.
+
+    A Bloom filter of the revealing terms lets go of the others before any shuffle; texts that repeat are one row.
+    """
+    found = disclosures(marked)
+    bits = filter_bits(found.count())
+    maybe = with_hits(_terms_of(marked, "_digest"), bit_table(found.select("term"), bits), bits, F.col("term"), "_maybe").where("_maybe")
+    hits = maybe.join(found, "term").groupBy("_digest").agg(F.map_from_entries(F.collect_set(F.struct("term", "ratio"))).alias("_ratios"))
+    return written(hits, "personal-hits")
+
+
+def term_places(text: Column, ratios: Column) -> Column:
+    """``start, end, ratio`` of every word of ``text`` whose lower case is a key of ``ratios``, by start."""
+    found = F.regexp_extract_all(text, F.lit(TERM), F.lit(0))
+
+    def places(words: Column) -> Column:
+        gaps = F.slice(F.split(text, TERM, -1), 1, F.size(words))
+        pairs = F.zip_with(gaps, words, lambda g, w: F.struct(F.length(g).alias("gap"), F.length(w).alias("size"), F.try_element_at(ratios, F.lower(w)).alias("ratio")))
+        begin = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(_TERMS).alias("out"))
+
+        def step(state: Column, pair: Column) -> Column:
+            start = state["at"] + pair["gap"]
+            end = start + pair["size"]
+            place = F.struct(start.alias("start"), end.alias("end"), pair["ratio"].alias("ratio"))
+            out = F.when(pair["ratio"].isNotNull(), F.concat(state["out"], F.array(place))).otherwise(state["out"])
+            return F.struct(end.alias("at"), out.alias("out"))
+
+        return F.aggregate(pairs, begin, step, lambda state: state["out"])
+
+    # The words are bound to a name, so that they are looked for once.
+    return F.transform(F.array(found), places)[0]
+
+
+def with_added(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``docs`` plus ``_spans`` and ``_added``: ``start, end, ratio`` of every revealing term in every document, by start (NULL: none).
+
+    A Bloom filter of the texts with revealing terms lets all others pass straight through; only what hits it is joined.
+    """
+    hits = revealing_terms(corpus_terms(docs, text))
+    bits = filter_bits(hits.count())
+    digested = docs.withColumn("_digest", _digest(text))
+    tested = with_hits(digested, bit_table(hits.select("_digest"), bits), bits, F.col("_digest"), "_maybe")
+    spans = base_spans(whole_text(text)).alias("_spans")
+    own = [F.col(c) for c in docs.columns]
+    alone = tested.where(~F.col("_maybe")).select(*own, spans, F.lit(None).cast(_TERMS).alias("_added"))
+    joined = tested.where("_maybe").join(hits, "_digest", "left").select(*own, spans, "_ratios")
+    places = term_places(masked(whole_text(text), F.col("_spans")), F.col("_ratios"))
+    added = F.when(F.col("_ratios").isNotNull(), places).alias("_added")
+    return alone.unionByName(joined.select(*own, "_spans", added))
 
 
 def spans_text(spans: Column) -> Column:
@@ -192,12 +242,12 @@ def spans_text(spans: Column) -> Column:
 
 def find_personal_data(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: key, counts by kind, ``base_sha256``, ``spans`` and ``n_terms``."""
-    marked = with_added(with_spans(docs.select(F.col(key), F.col(text).alias("_text")), "_text"), "_text")
+    marked = with_added(docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")), "_text")
     terms = F.transform("_added", lambda t: F.struct(F.lit("term").alias("kind"), t["start"].alias("start"), t["end"].alias("end")))
     base = spans_text(F.col("_spans"))
     every = F.array_join(F.filter(F.array(base, spans_text(terms)), lambda s: s != ""), ",")
     return marked.select(
-        key, *map(_count, PATTERNS), F.sha2(base, 256).alias("base_sha256"), every.alias("spans"), F.coalesce(F.size("_added"), F.lit(0)).alias("n_terms")
+        F.col("_key").alias(key), *map(_count, PATTERNS), F.sha2(base, 256).alias("base_sha256"), every.alias("spans"), F.coalesce(F.size("_added"), F.lit(0)).alias("n_terms")
     ).withColumn("n_terms", F.greatest("n_terms", F.lit(0)))
 
 
@@ -226,11 +276,11 @@ def sanitise(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def _sanitised(docs: DataFrame, text: str) -> DataFrame:
-    marked = with_added(with_spans(docs, text), text)
+    marked = with_added(docs, text)
     label = F.create_map(*[x for k, v in LABELS.items() for x in (F.lit(k), F.lit(v))])
     base = F.transform("_spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), label[s["kind"]].alias("label")))
     term = F.transform(
-        F.coalesce("_added", F.array().cast("array<struct<start:bigint,end:bigint,ratio:double>>")),
+        F.coalesce("_added", F.array().cast(_TERMS)),
         lambda t: F.struct(t["start"].alias("start"), t["end"].alias("end"), F.when(t["ratio"] >= REMOVE, "").otherwise(GENERALISED).alias("label")),
     )
     new = F.when((F.size("_spans") > 0) | F.col("_added").isNotNull(), _replaced(F.col(text), F.array_sort(F.concat(base, term)))).otherwise(F.col(text))
