@@ -171,11 +171,18 @@ def disclosures(marked: DataFrame) -> DataFrame:
         return F.pow(n_e, F.lit(GENERALISE)) * F.lit(total ** (1 - GENERALISE) * (1 + 1e-9))
 
     limit = entities.agg(F.coalesce(most(F.max("n_e")), F.lit(0.0))).first()[0]
-    terms = _terms_of(marked).groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
-    terms = written(terms.where(F.col("n_t").between(TOGETHER, limit)), "personal-terms")
-    named = own.join(entities, "entity").groupBy("_row").agg(F.sort_array(F.collect_list(F.struct("entity", "n_e"))).alias("_entities"))
-    said = _terms_of(some, "_row").join(terms, "term").groupBy("_row").agg(F.sort_array(F.collect_list(F.struct("term", "n_t"))).alias("_terms"))
-    alike = named.join(said, "_row").groupBy("_entities", "_terms").agg(F.count(F.lit(1)).alias("n"))
+    named = own.join(entities, "entity").groupBy("_row").agg(F.sort_array(F.collect_list(F.struct("entity", "n_e"))).alias("_named"))
+    beside = written(some.select("_row", "_terms").join(named, "_row"), "personal-beside")
+    # Only terms that two documents with such entities hold can reveal one; a Bloom filter lets go of the others before they are counted.
+    near = _terms_of(beside).groupBy("term").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= TOGETHER).select("term")
+    near = written(near, "personal-near")
+    bits = filter_bits(near.count())
+    maybe = with_hits(_terms_of(marked), bit_table(near, bits), bits, F.col("term"), "_maybe").where("_maybe")
+    terms = maybe.groupBy("term").agg(F.count(F.lit(1)).alias("n_t")).where(F.col("n_t") <= limit).join(near, "term", "left_semi")
+    terms = written(terms, "personal-terms")
+    said = _terms_of(beside, "_row").join(terms, "term").groupBy("_row").agg(F.sort_array(F.collect_list(F.struct("term", "n_t"))).alias("_terms"))
+    alike = beside.select("_row", F.col("_named").alias("_entities")).join(said, "_row")
+    alike = alike.groupBy("_entities", "_terms").agg(F.count(F.lit(1)).alias("n"))
     pairs = alike.select("n", "_terms", F.explode("_entities").alias("e"))
     pairs = pairs.select("n", "e", F.explode(F.filter("_terms", lambda t: t["n_t"] <= most(F.col("e.n_e")))).alias("t"))
     pairs = pairs.groupBy("e.entity", "e.n_e", "t.term", "t.n_t").agg(F.sum("n").alias("n_et")).where(F.col("n_et") >= TOGETHER)
