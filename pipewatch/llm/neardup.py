@@ -7,8 +7,9 @@ that its similarity reaches the threshold is below ``MISS``. Survivors are verif
 
 No pair list of a group is ever written out. In a first round each bucket offers only a spanning
 forest of its surviving pairs, the most similar first; these are verified, and what they link is
-contracted. In a second round the nodes of buckets that still hold several components bring their
-full sets along; there a task verifies the surviving pairs between different components itself, the
+contracted. In a second round the buckets that still hold several components first tell by signatures
+which nodes have a surviving pair with another component; only these bring their full sets along.
+There a task verifies the surviving pairs between different components itself, the
 most similar first, and gives only the links that join two components. After that, every pair that
 shares a band and survives the signature test has been verified or lies inside one component.
 Large buckets are dealt out in pairs of blocks, so no task holds a whole one.
@@ -44,6 +45,8 @@ BLOCK = 2048
 SET_BLOCK = 512
 # A pair is pruned when the chance that it reaches the threshold is below this.
 MISS = 1e-4
+# What is told of a node that may have a link to another component.
+ENDS = ["bucket", "band", "node", "root"]
 # Words whose hashes a worker remembers; shingles hashed at a time; pairs compared at a time.
 REMEMBERED = 300_000
 CHUNK = 2048
@@ -181,13 +184,14 @@ def similar(x: bytes, y: bytes, percent: int) -> bool:
     return 100 * both >= percent * (len(a) + len(b) - both)
 
 
-def candidate_pairs(groups: DataFrame, percent: int) -> DataFrame:
+def candidate_pairs(groups: DataFrame, percent: int, ends: bool = False) -> DataFrame:
     """A spanning forest (``a`` < ``b``) of the surviving pairs of each group of ``groups``.
 
     Columns: ``bucket, one, two`` (the group: a pair of blocks), ``block``, ``band``, ``node``,
     ``root``, ``signature``; with ``shingles`` beside them, only pairs that the full sets verify
     enter the forest. Roots are the trees to begin with. A pair that shares several bands counts
-    in the first of them.
+    in the first of them. With ``ends`` the result is ``bucket``, ``band``, ``node``, ``root`` of the
+    nodes that have a surviving pair with another root, once per group.
     """
     least = least_matches(percent)
     columns = ["bucket", "one", "two", "block", "band", "node", "root", "signature"]
@@ -226,15 +230,18 @@ def candidate_pairs(groups: DataFrame, percent: int) -> DataFrame:
                 held = 0
         settle()
         p, q, matches = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, int),) * 3
+        if ends:
+            at = np.union1d(p, q)
+            return pa.RecordBatch.from_arrays([pa.array(column[n][at]) for n in ENDS], ENDS)
         sets = table["shingles"].to_pylist() if verify else []
         joined, current, keep = _Forest(), -1, []
         for i in np.lexsort((-matches, group[p])).tolist():
             one, two = int(p[i]), int(q[i])
             if group[one] != current:
                 joined, current = _Forest(), group[one]
-            ends = joined.root(int(column["root"][one])), joined.root(int(column["root"][two]))
-            if ends[0] != ends[1] and (not verify or similar(sets[one], sets[two], percent)):
-                joined.join(*ends)
+            trees = joined.root(int(column["root"][one])), joined.root(int(column["root"][two]))
+            if trees[0] != trees[1] and (not verify or similar(sets[one], sets[two], percent)):
+                joined.join(*trees)
                 keep.append(i)
         p, q = p[keep], q[keep]
         a, b = column["node"][p], column["node"][q]
@@ -259,7 +266,7 @@ def candidate_pairs(groups: DataFrame, percent: int) -> DataFrame:
             yield pairs_of(held)
 
     ordered = groups.repartition("bucket", "one", "two").sortWithinPartitions("bucket", "one", "two")
-    return ordered.select(*columns).mapInArrow(search, "a bigint, b bigint")
+    return ordered.select(*columns).mapInArrow(search, "bucket bigint, band int, node bigint, root bigint" if ends else "a bigint, b bigint")
 
 
 def _blocks(members: DataFrame, size: int) -> DataFrame:
@@ -357,8 +364,11 @@ def _decisions(docs: DataFrame, percent: int, key: str, text: str) -> DataFrame:
     labelled = written(labelled, "labelled-members")
     mixed = labelled.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
     again = labelled.join(durable(mixed.select("bucket")), "bucket")
-    sets = sets_of(again.select("node"), nodes, docs, text)
-    second = _blocks(again, SET_BLOCK).join(marks.join(sets, "node"), "node")
+    # Signatures tell which nodes may link to another component; the sets of all others stay where they are.
+    open_ends = written(candidate_pairs(_blocks(again, BLOCK).join(marks, "node"), percent, ends=True).distinct(), "open-ends")
+    crowds = durable(open_ends.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")))
+    sets = sets_of(open_ends.select("node"), nodes, docs, text)
+    second = _blocks(open_ends.join(crowds, "bucket"), SET_BLOCK).join(marks.join(sets, "node"), "node")
     more = durable(candidate_pairs(second, percent).distinct())
     if more.head(1):
         roots = connected(links.unionByName(more))
