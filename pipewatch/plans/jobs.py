@@ -66,6 +66,7 @@ def train_job(
         scored.where("split = 'test'"), bundle.model, bundle.preprocessor.slot_table(), seed=search.get("seed", fit.SEED)
     )
     artefacts.write_table(importance, f"{out}/artefacts/feature_importance", "csv")
+    artefacts.write_artefact(importance, out, IMPORTANCE, [F.desc("importance_mean"), "feature"])
     by_split = fit.training_metrics(bundle, scored)
     artefacts.write_table(by_split, f"{out}/artefacts/train_metrics_csv", "csv")
     # One short JSON document, as the metrics of three splits and fifteen features.
@@ -85,13 +86,15 @@ def train_job(
         values = r.asDict()
         name = values.pop("split")
         document.update({f"{name}_{k}": v for k, v in values.items()})
-    spark.createDataFrame([(json.dumps(document, indent=2),)], "value string").coalesce(1).write.mode(
-        "overwrite"
-    ).text(f"{out}/artefacts/train_metrics")
+    text = spark.createDataFrame([(json.dumps(document, indent=2),)], "value string").coalesce(1)
+    text.write.mode("overwrite").text(f"{out}/artefacts/train_metrics")
+    artefacts.write_artefact(text, out, METRICS, ["value"], "json")
     return bundle
 
 
 PREDICTIONS = "predictions"
+# The paths that discovery looks for, by the order of the kinds.
+FAILED, PREDICTED, FAILED_REPORT, REPORT, METRICS, IMPORTANCE = (kind[0] for kind in publish.KINDS)
 
 
 def predict_job(
@@ -116,7 +119,9 @@ def predict_job(
         bundle, frame, raw["logs"] if with_logs else None, runs, **thresholds
     )
     artefacts.write_dated(predictions, f"{out}/{PREDICTIONS}", day)
-    return spark.read.parquet(f"{out}/{PREDICTIONS}").where(F.col("dt") == F.lit(day)).drop("dt")
+    stored = spark.read.parquet(f"{out}/{PREDICTIONS}").where(F.col("dt") == F.lit(day)).drop("dt")
+    artefacts.write_artefact(stored, out, publish.dated_target(PREDICTED, day), [F.desc(report.PROB), "dag_id", "run_id"])
+    return stored
 
 
 def report_job(
@@ -144,9 +149,22 @@ def report_job(
         parts["root_causes"] = rca.rca_markdown(rca.root_cause_details(now, logs))
     for name, df in parts.items():
         artefacts.write_dated(df, f"{out}/report_{name}", day)
+    artefacts.write_artefact(report_text(parts), out, publish.dated_target(REPORT, day), ["section", "place", "name"], "md")
     return parts
 
 
+def report_text(parts: Mapping[str, DataFrame]) -> DataFrame:
+    """(section, place, name, value): the lines of the daily report; ordered by the first three."""
+    head = F.array("title", F.lit(""), "total_line", "high_line", "trend_line", F.lit(""))
+    text = parts["summary"].select(F.lit(0).alias("section"), F.posexplode(head).alias("at", "value"))
+    text = text.select("section", F.col("at").cast("double").alias("place"), F.lit("").alias("name"), "value")
+    rows = parts["lines"].select(F.lit(1), F.coalesce(-F.col(report.PROB), F.lit(1.0)), F.concat_ws(" ", "dag_id", "run_id"), "line")
+    text = text.unionAll(rows)
+    if "root_causes" in parts:
+        text = text.unionAll(parts["root_causes"].select(F.lit(2), F.lit(0.0), "dag_id", F.concat(F.lit("\n"), F.col("markdown"))))
+    return text
+
+
 def failed_runs_job(
     spark: SparkSession,
     locations: Mapping[str, str],
@@ -157,11 +175,14 @@ def failed_runs_job(
     """Failed-run summary over the lookback; replaces that day's table."""
     logs = tables.read_table(spark, "logs", locations)
     summary = rca.failed_run_report(logs, day, back_days)
-    artefacts.write_dated(rca.failed_run_lines(summary), f"{out}/failed_runs_rca", day)
+    lines = rca.failed_run_lines(summary)
+    artefacts.write_dated(lines, f"{out}/failed_runs_rca", day)
+    artefacts.write_artefact(summary, out, publish.dated_target(FAILED, day), rca.failed_run_order())
+    artefacts.write_artefact(lines.withColumn("value", F.col("line")), out, publish.dated_target(FAILED_REPORT, day), rca.failed_run_order(), "md")
     return summary
 
 
-def _filtered_hash(spark: SparkSession, path: str, target: str, column: str, values: Sequence[str]) -> DataFrame:
+def _csv_hash(spark: SparkSession, path: str, target: str, column: str | None, values: Sequence[str] | None) -> DataFrame:
     """(target, content_hash) of a CSV after its kind's filter; no rows left is a header, a missing file no row."""
     nothing = spark.createDataFrame([], "target string, content_hash string")
     try:
@@ -172,10 +193,9 @@ def _filtered_hash(spark: SparkSession, path: str, target: str, column: str, val
         return nothing
     columns = rows.columns
     if not columns:
-        return artefacts.read_text(spark, path).select(F.lit(target).alias("target"), publish.text_hash("text").alias("content_hash"))
-    # A CSV is one file read in order.
-    kept = publish.kept_rows(rows.withColumn("_row_no", F.monotonically_increasing_id()), column, values)
-    numbered = with_group_index(kept.withColumn("_target", F.lit(target)), ["_target"], ["_row_no"], "_row_no")
+        return artefacts.read_text(spark, path).select(F.lit(target).alias("target"), publish.text_hash("text").alias("content_hash")).limit(1)
+    kept = publish.kept_rows(artefacts.numbered_csv(rows), column, values).withColumn("_target", F.lit(target))
+    numbered = with_group_index(kept.withColumnRenamed("_row_no", "_place"), ["_target"], ["_file", "_place"], "_row_no")
     hashed = publish.table_hash(numbered, columns, "_target", "_row_no").select(F.col("_target").alias("target"), "content_hash")
     header = F.lit(publish.header_hash(columns))
     one = spark.range(1).select(F.lit(target).alias("target"))
@@ -208,17 +228,12 @@ def publish_job(
         ["title", "dated"],
         "left_anti",
     )
-    anchor = root.rstrip("/").rsplit("/", 1)[-1]
     hashes = spark.createDataFrame([], "target string, content_hash string")
     # At most one path per kind and day of the lookback.
     for r in open_ones.select("target", "render_kind", "kept_column", "kept_values").collect():
-        path = f"{root.rstrip('/')}/{r['target']}"
-        if r["kept_column"] is not None and r["render_kind"] == "csv":
-            one = _filtered_hash(spark, path, r["target"], r["kept_column"], r["kept_values"])
+        if r["render_kind"] == "csv":
+            one = _csv_hash(spark, f"{root.rstrip('/')}/{r['target']}", r["target"], r["kept_column"], r["kept_values"])
         else:
-            one = artefacts.try_read_text(spark, path).select(
-                F.regexp_extract("path", rf"{anchor}/(.*)$", 1).alias("target"),
-                publish.text_hash("text").alias("content_hash"),
-            )
+            one = artefacts.read_target(spark, root, r["target"]).select("target", publish.text_hash("text").alias("content_hash"))
         hashes = hashes.unionAll(one)
     return publish.publish_plan(found, pages, hashes, state)

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date, timedelta
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 
@@ -32,6 +33,17 @@ def try_read_text(spark: SparkSession, path: str) -> DataFrame:
         return spark.createDataFrame([], "path string, text string")
 
 
+def read_target(spark: SparkSession, root: str, target: str) -> DataFrame:
+    """(target, text) of one artefact: a file, or a folder whose part files follow one another by name."""
+    parts = try_read_text(spark, f"{root.rstrip('/')}/{target}").groupBy(F.lit(target).alias("target"))
+    return parts.agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("path", "text"))), lambda s: s["text"]), "").alias("text"))
+
+
+def numbered_csv(rows: DataFrame, file: str = "_file", row_no: str = "_row_no") -> DataFrame:
+    """Rows of :func:`read_csv` with two columns that give their order: the file, and the place within it."""
+    return rows.select("*", F.col("_metadata.file_path").alias(file), F.monotonically_increasing_id().alias(row_no))
+
+
 def read_source(spark: SparkSession, source_kind: str, target: str, render_kind: str) -> DataFrame:
     """An artefact by its kind: a table, a CSV file or a text file."""
     if source_kind == "table":
@@ -76,6 +88,21 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     df.write.mode("overwrite").option("header", True).format(fmt).save(path)
 
 
+def write_artefact(df: DataFrame, root: str, target: str, order: Sequence[Column | str], render_kind: str = "csv") -> None:
+    """An artefact under the name that discovery looks for: a folder whose part files are in the order of ``order``.
+
+    A CSV takes all columns but arrays, maps and structs; other kinds take the lines in ``value``.
+    """
+    path = f"{root.rstrip('/')}/{target}"
+    # Sorted by ranges: no task holds more than its own.
+    ordered = df.orderBy(*order)
+    if render_kind == "csv":
+        flat = [f.name for f in df.schema.fields if f.dataType.typeName() not in ("array", "map", "struct")]
+        ordered.select(*[F.col(f"`{c}`") for c in flat]).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    else:
+        ordered.select("value").write.mode("overwrite").text(path)
+
+
 def read_dated(spark: SparkSession, path: str, day: date, schema: StructType) -> DataFrame:
     """One day of a dated table; empty when there is none."""
     try:

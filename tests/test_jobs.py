@@ -6,7 +6,7 @@ from datetime import date, datetime, timedelta
 
 from pyspark.sql import functions as F
 
-from pipewatch.plans import jobs
+from pipewatch.plans import jobs, publish, report
 from pipewatch.schemas import LOGS
 from pipewatch.sources import artefacts
 
@@ -71,6 +71,13 @@ def test_jobs(spark, tmp_path):
     assert parts["lines"].count() >= len(high)
     assert "QuotaRateLimit" in parts["root_causes"].first().markdown
     failed = jobs.failed_runs_job(spark, where, out, date(2024, 4, 9))
+    found = publish.discover(artefacts.list_objects(spark, out), DAY)
+    assert {r.target for r in found.where("dated").collect()} == {
+        "outputs/grid_cv_predictions_20240410.csv", "outputs/grid_cv_predictions_20240409.csv", "outputs/report_20240410.md",
+        "outputs/failed_runs_rca_20240409.csv", "outputs/failed_runs_rca_report_20240409.md",
+    }
+    stored = artefacts.numbered_csv(artefacts.read_csv(spark, f"{out}/outputs/grid_cv_predictions_20240410.csv"))
+    assert [r.run_id for r in stored.orderBy("_file", "_row_no").collect()] == [r.run_id for r in predictions.orderBy(F.desc(report.PROB), "dag_id", "run_id").collect()]
     assert failed.count() > 0 and spark.read.parquet(f"{out}/failed_runs_rca").count() == failed.count()
 
 
