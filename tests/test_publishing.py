@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pipewatch.plans import jobs, publish, publishing
 from pipewatch.settings import PublishSettings
-from pipewatch.sources import artefacts
+from pipewatch.sources import artefacts, typed
 
 DAY = date(2024, 4, 10)
 METRICS = "artefacts/grid_cv_train_metrics.json"
@@ -105,3 +105,18 @@ def test_empty_artefacts(spark, tmp_path):
     bodies = {r.target: r.body for r in publishing.current_pages(spark, store).collect()}
     assert "Rows: 0" in bodies[SCORES] and "no json" in bodies[METRICS]
     assert payload(spark, store, "a", SCORES) == ["run_id,risk_bucket"]
+
+
+def test_typed_rows_and_rejected_ones(spark):
+    schema = "k int, at string, n string"
+    rows = [(1, "2024-01-02 03:04:05", " 7 "), (2, None, ""), (3, "soon", "1e3"), (4, "2024-13-01", "x"), (4, " ", None), (None, "2024-02-30", "1_0")]
+    df, kinds = spark.createDataFrame(rows, schema), {"at": "timestamp", "n": "number"}
+    good = typed.typed_rows(df, kinds).collect()
+    assert [r.n for r in good] == [7.0, None, 1000.0, None, None, None] and good[0]["at"] == datetime(2024, 1, 2, 3, 4, 5)
+    assert all(r["at"] is None for r in good[1:])
+    bad = typed.rejected_rows(df, ["k"], kinds).collect()
+    assert sorted(map(tuple, bad), key=repr) == sorted([
+        (3, "at", "soon", "no timestamp"), (4, "at", "2024-13-01", "no timestamp"), (4, "n", "x", "no number"),
+        (None, "at", "2024-02-30", "no timestamp"), (None, "n", "1_0", "no number"),
+    ], key=repr)
+    assert typed.rejected_rows(df.limit(0), ["k"], kinds).count() == 0
