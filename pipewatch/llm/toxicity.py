@@ -5,7 +5,7 @@
 2. Label model. Each voter has a rate among toxic and among other documents; voters that fire
    together within a class beyond independence share their weight. Rates and correlations are
    estimated by expectation maximisation over the votes of all documents, labels of training rows
-   held fixed. Sums of votes and of pairs of votes are made by the tasks; V and V x V numbers return.
+   held fixed. Sums of votes and of the pairs of votes that occur are made by the tasks; only these return.
 3. Classifier. A logistic regression on the voters' hits is fitted to the posterior labels of a
    bounded sample of documents. It alone gives the score.
 
@@ -29,7 +29,6 @@ from pipewatch.llm.common import whole_text, written
 
 # Labelled documents from which words are learned, voters, and documents that fit the classifier.
 MAX_LABELLED = 100_000
-MAX_VOTERS = 256
 MAX_FITTED = 30_000
 ROUNDS = 3
 REJECT_FROM = 0.3
@@ -40,6 +39,9 @@ MIN_TEXTS = 3
 DEFAULT_RATE = 0.1
 # Voters beside the lexicon: several words hit, a large share of the words hit.
 PATTERNS = 2
+# Pairs of votes that a task holds before it adds them up, and rows of the classifier's sample looked at together.
+PAIRS_HELD = 1 << 20
+SAMPLE_ROWS = 4096
 # Different votes that one task sums up.
 PATTERNS_PER_TASK = 50_000
 
@@ -92,8 +94,10 @@ def term_counts(labelled: DataFrame) -> DataFrame:
     return parts.groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"), F.bit_or("texts").alias("texts"))
 
 
-def learn_lexicon(labelled: DataFrame, limit: int = MAX_VOTERS) -> list[str]:
-    """The seed and the terms that mark toxic documents beyond chance, the most frequent first.
+def learn_lexicon(labelled: DataFrame) -> list[str]:
+    """The seed and all terms that mark toxic documents beyond chance, the most frequent first.
+
+    A term needs some toxic labels of its own, so at most ``MAX_LABELLED`` labels bound their number.
 
     Beyond chance: Chernoff's bound on so many toxic documents among those with the term, times
     the number of terms, is below e^-3, and nine of ten documents with the term are toxic.
@@ -110,10 +114,10 @@ def learn_lexicon(labelled: DataFrame, limit: int = MAX_VOTERS) -> list[str]:
         chance = float(np.log(max(2, counts.count()))) + 3
         found = (
             counts.where((F.col("toxic") >= 0.9 * n) & (F.bit_count("texts") >= MIN_TEXTS) & (n * beyond > chance))
+            .where(~F.col("term").isin(SEED))
             .orderBy(F.desc("toxic"), "term")
-            .limit(limit - len(lexicon))
         )
-        lexicon += [r.term for r in found.select("term").collect() if r.term not in SEED]
+        lexicon += [r.term for r in found.select("term").collect()]
     return lexicon
 
 
@@ -187,17 +191,35 @@ class LabelModel:
         return cls(DEFAULT_RATE, rates, np.array([0.98, 0.2]), np.ones(size))
 
 
-def class_sums(patterns: DataFrame, model: LabelModel | None, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Per class: documents, those without votes, and the pairs of votes (votes on the diagonal).
+@dataclass
+class Pairs:
+    """Sums of the pairs of votes that occur, by ``code`` (first voter times the number of voters, plus second, first <= second)."""
+
+    code: np.ndarray
+    n: np.ndarray
+
+    @classmethod
+    def of(cls, codes: list[np.ndarray], n: list[np.ndarray]) -> Pairs:
+        if not codes:
+            return cls(np.zeros(0, np.int64), np.zeros(0))
+        code, place = np.unique(np.concatenate(codes), return_inverse=True)
+        return cls(code, np.bincount(place, np.concatenate(n), len(code)))
+
+
+def class_sums(patterns: DataFrame, model: LabelModel | None, size: int) -> tuple[np.ndarray, np.ndarray, list[Pairs]]:
+    """Per class: documents, those without votes, and the pairs of votes (votes are pairs with themselves).
 
     ``patterns`` has ``voters``, ``label`` (NULL: not known) and ``n`` documents. Without a model
-    only labelled documents count. Each task returns its own sums, at most 2 V^2 of them.
+    only labelled documents count. Each task returns its own sums of the pairs it has seen.
     """
 
     def add(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sums, totals, none = np.zeros((2, size, size)), np.zeros(2), np.zeros(2)
+        totals, none = np.zeros(2), np.zeros(2)
+        codes: list[list[np.ndarray]] = [[], []]
+        parts: list[list[np.ndarray]] = [[], []]
+        held = 0
         for frame in frames:
-            voters = [np.asarray(v, np.int64) for v in frame["voters"]]
+            voters = [np.sort(np.asarray(v, np.int64)) for v in frame["voters"]]
             label = frame["label"].to_numpy(float)
             known = ~np.isnan(label)
             q = np.where(known, np.nan_to_num(label), 0.0 if model is None else model.posterior(voters))
@@ -205,46 +227,60 @@ def class_sums(patterns: DataFrame, model: LabelModel | None, size: int) -> tupl
             for own, v, toxic, known_one in zip(n, voters, q, known):
                 if model is None and not known_one:
                     continue
+                one, two = np.triu_indices(len(v))
+                code = v[one] * size + v[two]
                 for c, part in ((0, own * (1 - toxic)), (1, own * toxic)):
                     totals[c] += part
                     none[c] += 0 if len(v) else part
                     if len(v) and part > 1e-9:
-                        sums[c][np.ix_(v, v)] += part
-        rows = [(c, -1, -1, totals[c]) for c in (0, 1)] + [(c, -2, -2, none[c]) for c in (0, 1)]
+                        codes[c].append(code)
+                        parts[c].append(np.full(len(code), part))
+                        held += len(code)
+                if held > PAIRS_HELD:
+                    sums = [Pairs.of(codes[c], parts[c]) for c in (0, 1)]
+                    codes, parts, held = [[x.code] for x in sums], [[x.n] for x in sums], 0
         for c in (0, 1):
-            i, j = np.nonzero(sums[c])
-            rows += zip([c] * len(i), i.tolist(), j.tolist(), sums[c][i, j].tolist())
-        yield pd.DataFrame(rows, columns=["c", "i", "j", "n"])
-
-    parts = patterns.mapInPandas(add, "c int, i int, j int, n double").groupBy("c", "i", "j").agg(F.sum("n").alias("n"))
-    sums, totals, none = np.zeros((2, size, size)), np.zeros(2), np.zeros(2)
-    for row in parts.collect():  # at most 2 V^2 + 4 rows
-        if row.i < 0:
-            (totals if row.i == -1 else none)[row.c] = row.n
-        else:
-            sums[row.c, row.i, row.j] = row.n
+            x = Pairs.of(codes[c], parts[c])
+            yield pd.DataFrame({"c": c, "code": np.concatenate([[-1, -2], x.code]).astype(np.int64), "n": np.concatenate([[totals[c], none[c]], x.n])})
+
+    summed = patterns.mapInPandas(add, "c int, code bigint, n double").groupBy("c", "code").agg(F.sum("n").alias("n")).toPandas()
+    totals, none, sums = np.zeros(2), np.zeros(2), []
+    for c in (0, 1):  # as many rows as pairs of voters occur
+        code, n = (summed.loc[summed["c"] == c, name].to_numpy() for name in ("code", "n"))
+        totals[c], none[c] = n[code == -1].sum(), n[code == -2].sum()
+        sums.append(Pairs.of([code[code >= 0]], [n[code >= 0]]))
     return totals, none, sums
 
 
-def estimate(totals: np.ndarray, none: np.ndarray, sums: np.ndarray, prior_rows: float = 2.0) -> LabelModel:
+def estimate(totals: np.ndarray, none: np.ndarray, sums: list[Pairs], size: int, prior_rows: float = 2.0) -> LabelModel:
     """Rates, and weights from the correlations of the voters within each class."""
-    size = sums.shape[1]
-    fired = np.stack([np.diag(sums[c]) for c in (0, 1)])
+    fired = np.zeros((2, size))
+    for c, x in enumerate(sums):
+        one, two = np.divmod(x.code, size)
+        fired[c, one[one == two]] = x.n[one == two]
     usual = np.stack([np.full(size, 1e-4), np.full(size, 0.05)])
     rates = (fired + prior_rows * usual) / (totals[:, None] + prior_rows)
     rates = np.clip(rates, 1e-6, 1 - 1e-6)
     rates[1] = np.maximum(rates[1], rates[0])  # a voter never speaks against toxicity
-    excess = np.zeros((size, size))
-    for c in (0, 1):
+    # Voters that never fire together correlate negatively, so the pairs that occur are all that count.
+    codes, excess = [], []
+    for c, x in enumerate(sums):
         if totals[c] > 0:
+            one, two = np.divmod(x.code, size)
             mean = fired[c] / totals[c]
             spread = np.sqrt(np.maximum(mean * (1 - mean), 1e-12))
-            correlation = (sums[c] / totals[c] - np.outer(mean, mean)) / np.outer(spread, spread)
-            seen = np.minimum.outer(fired[c], fired[c]) >= 3
-            excess = np.maximum(excess, np.where(seen, correlation, 0))
-    np.fill_diagonal(excess, 0)
-    # Voters of one language go together a little; only those that say nearly the same share a vote.
-    shared = np.where(excess > 0.5, excess, 0).sum(axis=1)
+            correlation = (x.n / totals[c] - mean[one] * mean[two]) / (spread[one] * spread[two])
+            # Voters of one language go together a little; only those that say nearly the same share a vote.
+            same = (one != two) & (np.minimum(fired[c, one], fired[c, two]) >= 3) & (correlation > 0.5)
+            codes.append(x.code[same])
+            excess.append(correlation[same])
+    shared = np.zeros(size)
+    if codes:
+        code, place = np.unique(np.concatenate(codes), return_inverse=True)
+        most = np.zeros(len(code))
+        np.maximum.at(most, place, np.concatenate(excess))
+        for end in np.divmod(code, size):
+            np.add.at(shared, end, most)
     prior = float(np.clip(totals[1] / max(totals.sum(), 1), 1e-3, 0.5))
     silent = (none + prior_rows * np.array([0.98, 0.2])) / (totals + prior_rows)
     return LabelModel(prior, rates, np.clip(silent, 1e-6, 1 - 1e-6), 1 / (1 + shared))
@@ -252,9 +288,9 @@ def estimate(totals: np.ndarray, none: np.ndarray, sums: np.ndarray, prior_rows:
 
 def fit_label_model(patterns: DataFrame, size: int, rounds: int = ROUNDS) -> LabelModel:
     known = class_sums(patterns, None, size)
-    model = estimate(*known) if known[0].min() > 0 else LabelModel.start(size)
+    model = estimate(*known, size) if known[0].min() > 0 else LabelModel.start(size)
     for _ in range(rounds):
-        model = estimate(*class_sums(patterns, model, size))
+        model = estimate(*class_sums(patterns, model, size), size)
     return model
 
 
@@ -288,13 +324,19 @@ def fit_classifier(lexicon: list[str], sample: pd.DataFrame, posterior: np.ndarr
         model.weights[-1] = np.log(DEFAULT_RATE / (1 - DEFAULT_RATE))
         model.weights[len(lexicon) + 2] = 4.0
         return model
-    x = model.features(sample["voters"], sample["hits"], sample["words"].to_numpy())
-    shrink = np.full(x.shape[1], l2)
-    shrink[-1] = 1e-6
+    voters, hits, words = sample["voters"].tolist(), sample["hits"].tolist(), sample["words"].to_numpy()
     w = model.weights
+    shrink = np.full(len(w), l2)
+    shrink[-1] = 1e-6
     for _ in range(steps):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.diag(shrink + 1e-9), x.T @ (posterior - p) - shrink * w)
+        bend, slope = np.diag(shrink + 1e-9), -shrink * w
+        for at in range(0, len(words), SAMPLE_ROWS):
+            own = slice(at, at + SAMPLE_ROWS)
+            x = model.features(voters[own], hits[own], words[own])
+            p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+            bend += (x * (p * (1 - p))[:, None]).T @ x
+            slope += x.T @ (posterior[own] - p)
+        step = np.linalg.solve(bend, slope)
         w = w + step
         if np.abs(step).max() < 1e-6:
             break
@@ -317,7 +359,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text:
     patterns = written(patterns, "toxic-votes")
     size = len(lexicon) + PATTERNS
     votes = written(patterns.groupBy("voters", "label").agg(F.sum("n").alias("n")), "toxic-patterns")
-    # Each task returns up to 2 V^2 sums, so there should be no more tasks than rows ask for.
+    # Each task returns the pairs it has seen, so there should be no more tasks than rows ask for.
     model = fit_label_model(votes.coalesce(-(-votes.count() // PATTERNS_PER_TASK) or 1), size)
     # Equal votes are one row here; rows with and without hits each give up to half the sample.
     parts = []

@@ -44,3 +44,61 @@ def test_without_labels_and_texts(spark):
     model = tx.fit_toxicity(docs.limit(0), labels)
     assert docs.select(tx.toxicity(F.col("text"), model).alias("s")).where("s >= 0.3").count() == 2
     assert docs.limit(0).select(tx.toxicity(F.col("text"), model)).count() == 0
+
+
+def dense_model(rows, size, known):
+    """The label model from whole matrices of votes; ``known`` is the share of class 1 per row."""
+    sums, totals, none = np.zeros((2, size, size)), np.zeros(2), np.zeros(2)
+    for (v, _, n), q in zip(rows, known):
+        for c, part in ((0, n * (1 - q)), (1, n * q)):
+            totals[c] += part
+            none[c] += part * (not v)
+            for a in v:
+                for b in v:
+                    sums[c, a, b] += part
+    fired = np.stack([np.diag(sums[c]) for c in (0, 1)])
+    rates = np.clip((fired + 2 * np.array([[1e-4], [0.05]])) / (totals[:, None] + 2), 1e-6, 1 - 1e-6)
+    rates[1] = np.maximum(rates[1], rates[0])
+    shared = np.zeros(size)
+    for a in range(size):
+        for b in range(size):
+            most = 0.0
+            for c in (0, 1):
+                if a != b and min(fired[c, a], fired[c, b]) >= 3:
+                    m = fired[c] / totals[c]
+                    s = np.sqrt(np.maximum(m * (1 - m), 1e-12))
+                    most = max(most, (sums[c, a, b] / totals[c] - m[a] * m[b]) / (s[a] * s[b]))
+            shared[a] += most if most > 0.5 else 0
+    return rates, 1 / (1 + shared), (none + 2 * np.array([0.98, 0.2])) / (totals + 2)
+
+
+def test_sums_equal_whole_matrices(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    rows = []
+    for _ in range(400):
+        v = set(np.flatnonzero(rng.random(40) < 0.08).tolist())
+        v |= {7} if 3 in v and rng.random() < 0.9 else set()
+        rows.append((sorted(v), [None, 0, 1][rng.integers(3)], int(rng.integers(1, 5))))
+    patterns = spark.createDataFrame(rows, "voters array<int>, label int, n long").repartition(3)
+    monkeypatch.setattr(tx, "PAIRS_HELD", 50)
+    labelled = [r for r in rows if r[1] is not None]
+    first = tx.estimate(*tx.class_sums(patterns, None, 40), 40)
+    for model, used, known in (
+        (first, labelled, [r[1] for r in labelled]),
+        (tx.estimate(*tx.class_sums(patterns, first, 40), 40), rows,
+         [p if r[1] is None else r[1] for r, p in zip(rows, first.posterior([np.array(r[0], int) for r in rows]))]),
+    ):
+        rates, weights, silent = dense_model(used, 40, known)
+        assert np.allclose(model.rates, rates) and np.allclose(model.weights, weights) and np.allclose(model.silent, silent)
+    assert first.weights[3] < 1 and first.weights[7] < 1
+
+
+def test_more_voters_than_a_fixed_number(spark):
+    """Every term that marks toxic documents votes, however many there are."""
+    letters = "abcdefghij"
+    words = ["q" + letters[i // 100] + letters[i // 10 % 10] + letters[i % 10] for i in range(400)]
+    rows = [(i * 30 + j, f"{w} note{i}x{j}", 1) for i, w in enumerate(words) for j in range(30)]
+    rows += [(10**6 + i, f"fine day of number{i}", 0) for i in range(108_000)]
+    labelled = spark.createDataFrame(rows, "doc_id long, text string, label int").select("text", "label")
+    lexicon = tx.learn_lexicon(labelled)
+    assert set(words) <= set(lexicon) and len(lexicon) == len(set(lexicon))
