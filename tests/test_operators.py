@@ -2,9 +2,11 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from pipewatch.operators import timeline
 from pipewatch.operators.cumulative import cumulative_sums, exact_quantiles
 from pipewatch.operators.ranking import (
     latest_version,
@@ -173,3 +175,32 @@ def test_a_million_values_stay_in_pieces(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     # The values' windows are over pieces; only the few totals are summed in one.
     assert "_piece" in plan and sizes.count() >= 20
+
+
+@pytest.mark.parametrize("framed_rows", [2, 50])
+def test_quantile_of_large_blocks_needs_no_digit_search(spark, framed_rows, monkeypatch):
+    rnd = random.Random(3)
+    rows = [("hot", rnd.randrange(-90, 200), rnd.choice([5, 7, rnd.randrange(10**12)])) for _ in range(6000)]
+    rows += [("cold", 10 * i, i) for i in range(20)] + [("hot", 20, None)]
+    df = spark.createDataFrame(rows, "k string, at bigint, v bigint")
+
+    def refused(*_):
+        raise AssertionError("these blocks fit into a group")
+
+    monkeypatch.setattr(timeline, "_digit_search", refused)
+    targets = df.select("k", "at").unionByName(spark.createDataFrame([("hot", 5000), ("new", 3)], "k string, at bigint"))
+    got = {(r.k, r["at"]): r.quantile for r in trailing_quantile(df, targets, ["k"], "v", 0.95, 100, framed_rows=framed_rows).collect()}
+    for k, t in {(r.k, r["at"]) for r in targets.collect()}:
+        want = linear([v for kk, a, v in rows if kk == k and v is not None and t - 100 <= a < t], 0.95)
+        assert got[k, t] == (None if want is None else pytest.approx(want))
+
+
+def test_values_at_rank():
+    rnd = np.random.default_rng(5)
+    for n in (1, 2, 33, 256):
+        values = rnd.integers(0, 40, n)
+        first = rnd.integers(0, n, 200)
+        last = np.array([rnd.integers(a + 1, n + 1) for a in first])
+        rank = np.array([rnd.integers(0, b - a) for a, b in zip(first, last)])
+        want = [sorted(values[a:b])[r] for a, b, r in zip(first, last, rank)]
+        assert timeline.values_at_rank(values, first, last, rank).tolist() == want
