@@ -48,7 +48,7 @@ MISS = 1e-4
 # What is told of a node that may have a link to another component.
 ENDS = ["bucket", "band", "node", "root"]
 # Words whose hashes a worker remembers; shingles hashed at a time; pairs compared at a time.
-REMEMBERED = 300_000
+REMEMBERED = 60_000
 CHUNK = 2048
 PAIRS = 1 << 16
 

@@ -113,3 +113,12 @@ def test_components_of_chains_and_stars(spark):
     for r in components.connected(hashed).collect():
         groups.setdefault(r.root, set()).add(names[r.node])
     assert sorted(map(sorted, groups.values())) == [list(range(9)), list(range(100, 130)), [300, 301]]
+
+
+def test_remembered_words_are_few():
+    own = neardup.Shingler()
+    texts = [" ".join(f"w{i}" for i in range(k, k + 5000)).encode() for k in range(0, 150_000, 5000)]
+    first = [own.shingles(t) for t in texts]
+    # Six workers share an executor with what other steps left behind.
+    assert len(own.known) < 100_000
+    assert all(np.array_equal(a, own.shingles(t)) for a, t in zip(first, texts))
