@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import re
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -59,3 +61,21 @@ def shared_folder(spark: SparkSession) -> str:
     """The checkpoint folder of this session: shared by the driver and all executors."""
     _ensure_checkpoint_dir(spark)
     return spark.sparkContext.getCheckpointDir()
+
+
+@contextmanager
+def small_batches(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Tasks of jobs run in this block hand Python at most so many rows at a time.
+
+    For rows with long texts or sets: a batch is held by the JVM and by Python, there several times.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = int(spark.conf.get(name))
+    if 0 < before <= rows:
+        yield
+        return
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, str(before))

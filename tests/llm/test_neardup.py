@@ -4,6 +4,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -122,3 +123,38 @@ def test_remembered_words_are_few():
     # Six workers share an executor with what other steps left behind.
     assert len(own.known) < 100_000
     assert all(np.array_equal(a, own.shingles(t)) for a, t in zip(first, texts))
+
+
+def test_python_gets_few_rows_at_a_time(spark):
+    """A batch of long texts is held several times over, so it must not have as many rows as there are."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+
+    def texts(batches):
+        for batch in batches:
+            assert len(batch) <= 1000, len(batch)
+            ids = batch.column(0).to_pylist()
+            yield pa.RecordBatch.from_pydict({"doc_id": ids, "text": [" ".join(f"w{i // 2}.{j}" for j in range(9)) for i in ids]})
+
+    docs = spark.range(0, 4000, 1, 1).mapInArrow(texts, "doc_id long, text string")
+    got = result(neardup.near_duplicates(docs, 85))
+    assert sorted(got) == [(i, 5, i - i % 2) for i in range(4000)]
+    assert spark.conf.get(name) == before
+
+
+def test_forest_of_few_held_pairs_is_the_same(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 2**32, neardup.SIZE, dtype=np.uint32)
+    rows = []
+    for i in range(120):
+        mark = np.where(rng.random(neardup.SIZE) < 0.12, rng.integers(0, 2**32, neardup.SIZE, dtype=np.uint32), base)
+        mark[: neardup.ROWS] = base[: neardup.ROWS]
+        rows.append((7, 0, 0, 0, 0, i, i // 2, mark.tobytes()))
+    groups = spark.createDataFrame(rows, "bucket long, one int, two int, block int, band int, node long, root long, signature binary").coalesce(1)
+    whole = sorted(map(tuple, neardup.candidate_pairs(groups, 80).collect()))
+    ends = sorted(map(tuple, neardup.candidate_pairs(groups, 80, ends=True).collect()))
+    monkeypatch.setattr(neardup, "PAIRS", 50)
+    monkeypatch.setattr(neardup, "PAIRS_HELD", 40)
+    assert len(whole) == 59
+    assert sorted(map(tuple, neardup.candidate_pairs(groups, 80).collect())) == whole
+    assert sorted(map(tuple, neardup.candidate_pairs(groups, 80, ends=True).collect())) == ends
