@@ -21,15 +21,21 @@ from pipewatch.llm.packing import pack_documents  # noqa: E402
 from pipewatch.llm.pii import sanitise  # noqa: E402
 from pipewatch.llm.queries import vocabulary  # noqa: E402
 from pipewatch.llm.toxicity import REJECT_FROM, fit_toxicity, held_out, toxicity  # noqa: E402
+from pipewatch.session import small_batches  # noqa: E402
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+# Documents that a task hands Python at a time. What a stage takes, its JVM and its Python workers mostly
+# keep, so the memory of a later stage is that of all before it, too.
+BATCH_ROWS = 1000
 
 
 def toxic_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity classifier rejects go; labels come from the training rows only."""
     labels = read_table(spark, sf_dir, "labels").where(~held_out())
-    model = fit_toxicity(docs, labels)
-    return docs.where(toxicity(F.col("text"), model) < REJECT_FROM).select(*COLUMNS)
+    with small_batches(spark, BATCH_ROWS):
+        model = fit_toxicity(docs, labels)
+        # Written here, as the size of batches counts when a job runs.
+        return written(docs.where(toxicity(F.col("text"), model) < REJECT_FROM).select(*COLUMNS), "not-toxic")
 
 
 def copies_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,7 +55,8 @@ def personal_data_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Where each piece of each document lies in sequences of 4096 tokens."""
-    return pack_documents(docs, vocabulary("word_bpe_49k.json"))
+    with small_batches(spark, BATCH_ROWS):
+        return pack_documents(docs, vocabulary("word_bpe_49k.json"))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -39,8 +39,10 @@ MIN_TEXTS = 3
 DEFAULT_RATE = 0.1
 # Voters beside the lexicon: several words hit, a large share of the words hit.
 PATTERNS = 2
+# Terms that a task counts before it hands on their sums.
+TERMS_HELD = 50_000
 # Pairs of votes that a task holds before it adds them up, and rows of the classifier's sample looked at together.
-PAIRS_HELD = 1 << 20
+PAIRS_HELD = 1 << 18
 SAMPLE_ROWS = 4096
 # Different votes that one task sums up.
 PATTERNS_PER_TASK = 50_000
@@ -85,7 +87,7 @@ def term_counts(labelled: DataFrame) -> DataFrame:
                         own[2] |= 1 << mark
                     else:
                         own[1] += 1
-                if len(sums) > 300_000:
+                if len(sums) > TERMS_HELD:
                     yield out()
         yield out()
 
@@ -217,7 +219,7 @@ def class_sums(patterns: DataFrame, model: LabelModel | None, size: int) -> tupl
         totals, none = np.zeros(2), np.zeros(2)
         codes: list[list[np.ndarray]] = [[], []]
         parts: list[list[np.ndarray]] = [[], []]
-        held = 0
+        held, most = 0, PAIRS_HELD
         for frame in frames:
             voters = [np.sort(np.asarray(v, np.int64)) for v in frame["voters"]]
             label = frame["label"].to_numpy(float)
@@ -236,9 +238,11 @@ def class_sums(patterns: DataFrame, model: LabelModel | None, size: int) -> tupl
                         codes[c].append(code)
                         parts[c].append(np.full(len(code), part))
                         held += len(code)
-                if held > PAIRS_HELD:
+                if held > most:
                     sums = [Pairs.of(codes[c], parts[c]) for c in (0, 1)]
                     codes, parts, held = [[x.code] for x in sums], [[x.n] for x in sums], 0
+                    # Adding up costs as much as all sums so far, so as many pairs come before the next time.
+                    most = max(PAIRS_HELD, *(len(x.code) for x in sums))
         for c in (0, 1):
             x = Pairs.of(codes[c], parts[c])
             yield pd.DataFrame({"c": c, "code": np.concatenate([[-1, -2], x.code]).astype(np.int64), "n": np.concatenate([[totals[c], none[c]], x.n])})

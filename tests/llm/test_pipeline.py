@@ -1,6 +1,7 @@
 """The pipeline against its parts by brute force on a small table."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline as cp
@@ -52,6 +53,26 @@ def test_run_equals_stages(spark, stages):
     assert key(cp.run(spark, SF).collect()) == key(stages[-1])
 
 
+@pytest.mark.parametrize("stage", ["toxicity", "packing"])
+def test_python_gets_few_rows_at_a_time(spark, tmp_path, stage):
+    """What one stage's batches take of an executor's memory is still taken in the next stages."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.createDataFrame([(i, i % 7 // 6) for i in range(0, 3000, 2)], "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+
+    def texts(batches):
+        for batch in batches:
+            assert len(batch) <= 1000, len(batch)
+            ids = batch.column(0).to_pylist()
+            said = [f"{'you scum idiot' if i % 7 == 6 else 'a fine day'} number{i} of many" for i in ids]
+            yield pa.RecordBatch.from_pydict({"doc_id": ids, "text": said, "lang": ["en"] * len(ids), "source": ["s"] * len(ids), "n_chars": ids})
+
+    docs = spark.range(0, 3000, 1, 1).mapInArrow(texts, "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r.doc_id for r in dict(cp.STAGES)[stage](spark, docs, str(tmp_path)).collect()}
+    assert got == {i for i in range(3000) if stage != "toxicity" or i % 7 != 6}
+    assert spark.conf.get(name) == before
+
+
 def test_exact_dedup_edge_cases(spark):
     rows = [(1, "A é"), (2, "a é"), (3, "a É"), (None, None), (4, ""), (None, "x"), (None, "X"), (7, "dup"), (7, "dup"), (7, "DUP")]
     docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "doc_id AS _key", "'z' AS bucket")

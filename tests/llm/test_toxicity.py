@@ -93,6 +93,21 @@ def test_sums_equal_whole_matrices(spark, monkeypatch):
     assert first.weights[3] < 1 and first.weights[7] < 1
 
 
+def test_few_terms_are_held(spark, monkeypatch):
+    """A worker keeps what it once took, so a task hands on its counts before they are many; the sums are the same."""
+    rows = [(f"word{i % 13} word{i % 7} other{i}", int(i % 5 == 0)) for i in range(200)]
+    labelled = spark.createDataFrame(rows, "text string, label int").coalesce(1)
+    assert tx.TERMS_HELD <= 50_000
+    whole = sorted(map(tuple, tx.term_counts(labelled).collect()))
+    monkeypatch.setattr(tx, "TERMS_HELD", 40)
+    assert sorted(map(tuple, tx.term_counts(labelled).collect())) == whole
+    words = {}
+    for text, label in rows:
+        for t in {t for w in tx._WORD.findall(text) for t in tx.terms_of(w)}:
+            words.setdefault(t, [0, 0])[0 if label else 1] += 1
+    assert [(t, a, b) for t, a, b, _ in whole] == sorted((t, *n) for t, n in words.items())
+
+
 def test_more_voters_than_a_fixed_number(spark):
     """Every term that marks toxic documents votes, however many there are."""
     letters = "abcdefghij"
